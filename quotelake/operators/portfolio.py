@@ -201,7 +201,7 @@ def affordable_units(priced: DataFrame) -> DataFrame:
         invested.alias("invested"),
         price.alias("price"),
         units.cast("long").alias("units_affordable"),
-        (units * price).alias("current_value"),
+        F.coalesce(units * price, F.lit(0.0)).alias("current_value"),
     )
 
 

@@ -205,6 +205,39 @@ def new_batch(etf_data: DataFrame) -> DataFrame:
     return restated.unionByName(later).unionByName(corrected)
 
 
+def new_rates(rates: DataFrame) -> DataFrame:
+    """Landed rates of the same shape: restated, later and corrected days."""
+    newest = rates.agg(F.max("rate_date")).scalar()
+    base = rates.select(
+        "from_currency", "to_currency", "rate_date", "exchange_rate"
+    ).filter(F.col("rate_date") > F.date_sub(newest, 10))
+    rate = F.col("exchange_rate")
+    restated = base.withColumns({"exchange_rate": rate * 1.01, "seq": F.lit(1)})
+    later = base.filter(F.col("rate_date") > F.date_sub(newest, 5)).withColumns(
+        {"rate_date": F.date_add("rate_date", 5), "seq": F.lit(1)}
+    )
+    corrected = base.filter(F.col("rate_date") == newest).withColumns(
+        {"exchange_rate": rate * 1.02, "seq": F.lit(2)}
+    )
+    return restated.unionByName(later).unionByName(corrected)
+
+
+def new_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid symbols not yet listed, one per customer."""
+    key = F.col("c_custkey")
+    isin = F.concat(
+        F.lit("US9"), F.lpad(key.cast("string"), 8, "0"), (key % 10).cast("string")
+    )
+    return read(spark, folder, "customer").select(
+        isin.alias("isin"),
+        F.col("c_name").alias("ticker"),
+        F.concat(F.lit("Fund "), "c_name").alias("name"),
+        F.lit("ETF").alias("asset_type"),
+        F.lit("NYSE").alias("exchange"),
+        F.lit("USD").alias("currency"),
+    )
+
+
 def symbol_file(symbols: DataFrame) -> DataFrame:
     """Symbol list as landed, with faults of every kind spread over the keys;
     ``seq`` is the position of a repeated entry."""
