@@ -12,7 +12,7 @@ from quotelake.operators.loading import load_bars, load_metrics, load_thresholds
 from quotelake.operators.metrics import metrics_52week
 from quotelake.operators.quality import accepted, batch_report
 from quotelake.sources.lake import DATED, Lake
-from quotelake.sources.storage import YEAR, path_exists, write_dated
+from quotelake.sources.storage import YEAR, settle, write_dated
 
 
 def merge_years(
@@ -28,18 +28,10 @@ def merge_years(
     the same staging folder skips a finished merge and only copies it again, so
     a job lost half way neither loses rows nor applies a batch twice.
     """
-    spark = lake.spark
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
-        stored = lake.raw(table)
-        current = stored.filter(F.col(YEAR).isin(years)).drop(YEAR)
-        write_dated(merge(current, next_id(stored)), staging, *DATED[table])
-    (
-        spark.read.parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(YEAR)
-        .parquet(lake.path(table))
-    )
+    stored = lake.raw(table)
+    current = stored.filter(F.col(YEAR).isin(years)).drop(YEAR)
+    merged = settle(merge(current, next_id(stored)), staging)
+    write_dated(merged, lake.path(table), *DATED[table], replace_all=False)
 
 
 def years_of(df: DataFrame, date_column: str) -> list[int]:
@@ -56,7 +48,8 @@ def load_batch(
     A symbol that fails the gate is left out and stops no other symbol. All
     symbols go through one plan; nothing loops over them.
     """
-    passed = accepted(landed, batch_report(landed.drop("seq")))
+    gated = accepted(landed, batch_report(landed.drop("seq")))
+    passed = settle(gated, f"{staging}/accepted")
     years = years_of(passed, "date")
     if not years:
         return
@@ -77,7 +70,7 @@ def refresh_metrics(
     """Recompute 52-week metrics and entry levels of the touched symbols."""
     day = F.lit(as_of).cast("date")
     bars = lake.raw("etf_data").join(touched.distinct(), "symbol_id", "left_semi")
-    computed = metrics_52week(bars, day)
+    computed = settle(metrics_52week(bars, day), f"{staging}/metrics")
     year = [int(as_of[:4])]
     merge_years(
         lake,

@@ -43,18 +43,36 @@ def with_year(df: DataFrame, date_column: str) -> DataFrame:
     return df.withColumn(YEAR, F.year(date_column))
 
 
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result once and continue from the stored copy.
+
+    Cuts the lineage where several later steps use the result, and lets a rerun
+    after a failure pick up a finished step instead of computing it again.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_dated(
-    df: DataFrame, path: str, date_column: str, cluster_by: list[str]
+    df: DataFrame,
+    path: str,
+    date_column: str,
+    cluster_by: list[str],
+    replace_all: bool = True,
 ) -> None:
     """Write partitioned by year. Range partitioning on (year, keys) spreads a
     hot year or key over many tasks and leaves sorted files, so that row-group
-    statistics prune reads by key."""
+    statistics prune reads by key. With ``replace_all=False`` only the years
+    present in ``df`` are replaced."""
     order = [YEAR, *cluster_by]
     (
         with_year(df, date_column)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(YEAR)
         .parquet(path)
     )
