@@ -87,7 +87,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf") or 0),
                 "setup": round(setup, 3),
                 "bars": rows,
                 "eur_conversion_rows_per_sec": round(rows / seconds["int_prices_eur"]),

@@ -618,6 +618,14 @@ QUERIES = {
              {", ".join(f"CASE WHEN s.is_active AND s.currency <> 'EUR' THEN CASE WHEN b.{c} <> 0 THEN {to(f'b.{c} * r.exchange_rate', 2)} END ELSE b.{c}_eur END AS {c}_eur" for c in PRICES)},
              b.created_at
       FROM etf_data b {_batch_joins}""",
+    "update_eur_keyed": f"""
+      SELECT t.id, t.symbol_id, t.date, t.open, t.high, t.low, t.close, t.volume,
+             {", ".join(f"CASE WHEN c.symbol_id IS NULL THEN t.{c}_eur ELSE c.{c}_eur END AS {c}_eur" for c in PRICES)},
+             t.created_at
+      FROM etf_data t LEFT JOIN (
+        SELECT b.symbol_id, b.date, {_batch_eur(True)}
+        FROM (SELECT * FROM landed WHERE seq = 1) b {_batch_joins}) c
+        ON c.symbol_id = t.symbol_id AND c.date = t.date""",
     "update_eur_native": f"""
       SELECT b.id, b.symbol_id, b.date, b.open, b.high, b.low, b.close, b.volume,
              {", ".join(f"CASE WHEN s.id IS NOT NULL AND (b.open_eur IS NULL OR b.high_eur IS NULL OR b.low_eur IS NULL OR b.close_eur IS NULL) THEN b.{c} ELSE b.{c}_eur END AS {c}_eur" for c in PRICES)},

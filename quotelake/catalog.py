@@ -23,6 +23,7 @@ from quotelake.operators import (
     runlog,
 )
 from quotelake.operators.metrics import entry_levels, metrics_52week, newest_date
+from quotelake.operators.upsert import update_by_key
 from quotelake.plans import documents, marts, staging
 from quotelake.plans.refresh import copy_lake
 from quotelake.sources import derive, files
@@ -242,6 +243,15 @@ def update_eur_prices(spark, folder):
     )
 
 
+@query
+def update_eur_keyed(spark, folder):
+    """EUR prices of a landed batch written onto the bars it matches."""
+    bars = _plain(_bars(spark, folder))
+    landed = derive.new_batch(bars).filter("seq = 1").drop("seq")
+    changes = fx.convert_batch(landed, _symbols(spark, folder), _rates(spark, folder))
+    return update_by_key(bars, changes, loading.BAR_KEY, EUR_COLUMNS)
+
+
 @query
 def update_eur_native(spark, folder):
     return loading.fill_native_eur(
@@ -515,8 +525,7 @@ def rows_per_symbol(spark, folder):
 def orphan_bars(spark, folder):
     """Bars whose symbol is not among the active ones."""
     active = staging.active_symbols(_symbols(spark, folder))
-    found = quality.orphans(_bars(spark, folder), "symbol_id", active, "id")
-    return found.groupBy("symbol_id").agg(F.count(F.lit(1)).alias("orphaned"))
+    return quality.orphan_counts(_bars(spark, folder), "symbol_id", active, "id")
 
 
 @query

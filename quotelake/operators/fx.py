@@ -136,9 +136,10 @@ def convert_columns(
 
 
 def _with_day_rate(bars: DataFrame, symbols: DataFrame, rates: DataFrame) -> DataFrame:
-    """Bars plus ``_currency`` and the stored EUR rate of the bar's own day."""
+    """Bars plus their symbol's ``is_active`` and ``_currency`` and the stored
+    EUR rate of the bar's own day."""
     owners = symbols.select(
-        F.col("id").alias("symbol_id"), F.col("currency").alias("_currency")
+        F.col("id").alias("symbol_id"), F.col("currency").alias("_currency"), "is_active"
     )
     days = rates.filter(F.col("to_currency") == BASE_CURRENCY).select(
         F.col("from_currency").alias("_currency"),
@@ -150,6 +151,18 @@ def _with_day_rate(bars: DataFrame, symbols: DataFrame, rates: DataFrame) -> Dat
     )
 
 
+def _converted(fill_base: bool) -> dict[str, Column]:
+    """EUR column expressions over rows that carry ``_currency`` and ``_rate``."""
+    native = F.col("_currency") == BASE_CURRENCY
+    converted = {}
+    for source, target in zip(PRICE_COLUMNS, EUR_COLUMNS):
+        price = F.col(source)
+        copied = price if fill_base else F.lit(None).cast("double")
+        by_rate = F.when(price != 0, round2(price * F.col("_rate")))
+        converted[target] = F.when(native, copied).otherwise(by_rate)
+    return converted
+
+
 def convert_batch(
     bars: DataFrame, symbols: DataFrame, rates: DataFrame, fill_base: bool = True
 ) -> DataFrame:
@@ -158,14 +171,19 @@ def convert_batch(
     Null where the day has no rate or the price is 0 or null. EUR-native rows
     copy their prices, or stay null with ``fill_base=False`` as the loader does.
     """
-    joined = _with_day_rate(bars, symbols, rates)
-    native = F.col("_currency") == BASE_CURRENCY
-    converted = {}
-    for source, target in zip(PRICE_COLUMNS, EUR_COLUMNS):
-        price = F.col(source)
-        copied = price if fill_base else F.lit(None).cast("double")
-        by_rate = F.when(price != 0, round2(price * F.col("_rate")))
-        converted[target] = F.when(native, copied).otherwise(by_rate)
-    out = joined.withColumns(converted).drop("_currency", "_rate")
+    out = _with_day_rate(bars, symbols, rates).withColumns(_converted(fill_base))
     kept = [c for c in bars.columns if c not in EUR_COLUMNS]
     return out.select(*kept, *EUR_COLUMNS)
+
+
+def reconvert(
+    bars: DataFrame, symbols: DataFrame, rates: DataFrame, only: Column
+) -> DataFrame:
+    """Recompute the EUR prices of the rows where ``only`` (over the symbol's
+    ``is_active`` and ``_currency``) holds, in one pass without a self-join."""
+    joined = _with_day_rate(bars, symbols, rates)
+    replaced = {
+        name: F.when(only, value).otherwise(F.col(name))
+        for name, value in _converted(True).items()
+    }
+    return joined.withColumns(replaced).select(*bars.columns)

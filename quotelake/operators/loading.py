@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.operators.fx import convert_batch
+from quotelake.functions.currency import BASE_CURRENCY
+from quotelake.operators.fx import convert_batch, reconvert
 from quotelake.operators.ids import next_id, number_rows
 from quotelake.operators.metrics import entry_levels
 from quotelake.operators.quality import file_problems
-from quotelake.operators.upsert import update_by_key, update_where, upsert
+from quotelake.operators.upsert import update_where, upsert
 from quotelake.sources.schemas import (
     EUR_COLUMNS,
     LEVELS,
@@ -127,13 +128,10 @@ def reload_symbols(
 def update_eur_prices(
     current: DataFrame, symbols: DataFrame, rates: DataFrame
 ) -> DataFrame:
-    """Recompute EUR prices of all foreign bars of active symbols."""
-    foreign = symbols.filter("is_active AND currency <> 'EUR'")
-    owned = current.join(
-        foreign.select(F.col("id").alias("symbol_id")), "symbol_id", "left_semi"
-    )
-    converted = convert_batch(owned.drop(*EUR_COLUMNS), symbols, rates)
-    return update_by_key(current, converted, BAR_KEY, list(EUR_COLUMNS))
+    """Recompute EUR prices of all foreign bars of active symbols. A bar whose
+    day has no rate loses its EUR prices."""
+    foreign = F.col("is_active") & (F.col("_currency") != BASE_CURRENCY)
+    return reconvert(current, symbols, rates, foreign)
 
 
 def fill_native_eur(current: DataFrame, symbols: DataFrame) -> DataFrame:

@@ -102,14 +102,24 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.join(known, key, "left_anti")
 
 
+def orphan_counts(
+    child: DataFrame, key: str, parent: DataFrame, parent_key: str
+) -> DataFrame:
+    """(key, orphaned): rows per key without parent. Counting first means the
+    anti join moves one row per key, not the table."""
+    counts = child.groupBy(key).agg(F.count(F.lit(1)).alias("orphaned"))
+    return orphans(counts, key, parent, parent_key)
+
+
 def foreign_key_failures(
     children: dict[str, DataFrame], parent: DataFrame
 ) -> DataFrame:
     """(table_name, failures) of ``symbol_id`` against the symbols."""
+    total = F.coalesce(F.sum("orphaned"), F.lit(0)).alias("failures")
     return union_all(
         [
-            orphans(df, "symbol_id", parent, "id")
-            .agg(F.count(F.lit(1)).alias("failures"))
+            orphan_counts(df, "symbol_id", parent, "id")
+            .agg(total)
             .select(F.lit(name).alias("table_name"), "failures")
             for name, df in children.items()
         ]

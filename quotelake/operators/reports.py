@@ -60,8 +60,8 @@ def in_display_order(df: DataFrame, tickers: Sequence[str]) -> DataFrame:
     """Tickers of ``df`` that are on the display list, with their rank."""
     shown = F.array(*(F.lit(t) for t in tickers))
     rank = F.array_position(shown, F.col("ticker"))
-    present = df.select("ticker").distinct()
-    return present.withColumn("rank", rank).filter(F.col("rank") > 0)
+    present = df.filter(F.col("ticker").isin(*tickers)).select("ticker").distinct()
+    return present.withColumn("rank", rank)
 
 
 def metric_history(snapshots: DataFrame, symbols: DataFrame, columns: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.plans import marts, staging
+from quotelake.session import configure
 from quotelake.sources import derive
 from quotelake.sources.schemas import MART_FX_RATES, RAW_TABLES
 from quotelake.sources.storage import (
@@ -115,6 +116,7 @@ def lake_for(spark: SparkSession, folder: str, published: bool = False) -> Lake:
     """The session's lake for a data folder, built (and published) on first use."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     if key not in _LAKES:
+        configure(spark)
         _LAKES[key] = build_raw(spark, folder)
     lake = _LAKES[key]
     if published and lake.root not in _PUBLISHED:
