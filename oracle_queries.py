@@ -743,6 +743,9 @@ QUERIES = {
              coalesce(CASE native_currency WHEN 'USD' THEN '$' WHEN 'GBP' THEN '£'
                WHEN 'EUR' THEN '€' ELSE '' END || format('{:,.2f}', latest_close), '—')
                AS price_text,
+             coalesce(CASE native_currency WHEN 'USD' THEN '$' WHEN 'GBP' THEN '£'
+               WHEN 'EUR' THEN '€' ELSE native_currency END
+               || format('{:.2f}', high_52week), 'N/A') AS high_text,
              coalesce('€' || format('{:,.2f}', latest_close_eur), '—') AS eur_text,
              printf('%+.2f%%', daily_change_eur_pct) AS change_text,
              strftime(latest_price_date, '%b %d, %Y') AS date_text

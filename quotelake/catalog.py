@@ -29,7 +29,7 @@ from quotelake.plans.refresh import copy_lake
 from quotelake.sources import derive, files
 from quotelake.sources.lake import Lake, build_raw, lake_for
 from quotelake.sources.schemas import BAR_FILE, EUR_COLUMNS
-from quotelake.sources.storage import YEAR, in_dates, new_folder
+from quotelake.sources.storage import YEAR, new_folder
 from quotelake.streaming.bars import load_landed_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,9 +150,8 @@ def scan_symbols_csv(spark, folder):
 
 @query
 def scan_bars(spark, folder):
-    return in_dates(_bars(spark, folder), "date", "1998-01-01").select(
-        *BAR_FILE.fieldNames()
-    )
+    path = lake_for(spark, folder).path("etf_data")
+    return _plain(files.read_bars(spark, path, "1998-01-01"))
 
 
 @query

@@ -38,6 +38,11 @@ def calendar_start(preset: str, today: Column) -> Column | None:
     return F.trunc(F.add_months(today, -1), "MM")
 
 
+def range_name(preset: str) -> str:
+    """Display name of a calendar preset; an unknown one shows as one month."""
+    return RANGE_NAMES.get(preset, RANGE_NAMES["1m"])
+
+
 def month_step(start: Column, months: Column) -> Column:
     """Same day ``months`` later; a day the month lacks runs into the next one
     (31 January + 1 month = 2 or 3 March)."""

@@ -68,5 +68,13 @@ def money_text(value: Column, currency: Column) -> Column:
     return F.when(value.isNull(), F.lit(MISSING_MONEY)).otherwise(text)
 
 
+def plain_money_text(value: Column, currency: Column) -> Column:
+    """``kr1234.50``: any known symbol or else the code, no grouping; N/A for a
+    missing amount."""
+    digits = F.replace(F.format_number(value, 2), F.lit(","), F.lit(""))
+    text = F.concat(currency_symbol(currency), digits)
+    return F.when(value.isNull(), F.lit("N/A")).otherwise(text)
+
+
 def signed_pct_text(value: Column) -> Column:
     return F.format_string("%+.2f%%", value)

@@ -13,6 +13,7 @@ from quotelake.functions.currency import (
     convert,
     convert_at_latest_ratio,
     money_text,
+    plain_money_text,
     signed_pct_text,
 )
 from quotelake.operators.fx import convert_columns, rate_of
@@ -257,6 +258,7 @@ def formatted_prices(week52: DataFrame) -> DataFrame:
     return week52.select(
         "ticker",
         money_text(F.col("latest_close"), F.col("native_currency")).alias("price_text"),
+        plain_money_text(F.col("high_52week"), F.col("native_currency")).alias("high_text"),
         money_text(F.col("latest_close_eur"), F.lit("EUR")).alias("eur_text"),
         signed_pct_text(F.col("daily_change_eur_pct")).alias("change_text"),
         calendar.display_date(F.col("latest_price_date")).alias("date_text"),

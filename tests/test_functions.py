@@ -69,6 +69,9 @@ def test_money_text(spark):
     assert one(spark, text, v=1234.5, c="EUR") == "€1,234.50"
     assert one(spark, text, v=1234.5, c="CHF") == "1,234.50"
     assert one(spark, text, v=None, c="USD") == "—"
+    plain = currency.plain_money_text(F.col("v"), F.col("c"))
+    assert one(spark, plain, v=1234.5, c="SEK") == "kr1234.50"
+    assert one(spark, plain, v=None, c="SEK") == "N/A"
     assert one(spark, currency.signed_pct_text(F.col("v")), v=-3.25) == "-3.25%"
     assert one(spark, currency.signed_pct_text(F.col("v")), v=3.0) == "+3.00%"
     assert one(spark, currency.currency_symbol(F.col("c")), c="SEK") == "kr"
@@ -106,6 +109,7 @@ def test_calendar_presets(spark, preset, expected):
 
 
 def test_preset_without_start(spark):
+    assert (calendar.range_name("2y"), calendar.range_name("?")) == ("2 Years", "1 Month")
     assert calendar.calendar_start("all", F.col("d")) is None
     assert calendar.range_start("ALL", F.col("d")) is None
     assert one(spark, calendar.range_start("3M", F.col("d")), d=date(2024, 6, 15)) == date(
