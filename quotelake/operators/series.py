@@ -36,25 +36,37 @@ def _earlier_chunks(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(CHUNK)
 
 
+def newest_in_chunk(
+    df: DataFrame, keys: Sequence[str], rows: int, order: str = "date"
+) -> DataFrame:
+    """The newest ``rows`` rows of every key and chunk; each task keeps no more
+    than that before the shuffle."""
+    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc())
+    ranked = df.withColumn("_n", F.row_number().over(newest))
+    return ranked.filter(F.col("_n") <= rows).drop("_n")
+
+
 def look_back(
     df: DataFrame,
     keys: Sequence[str],
     rows: int,
     values: Sequence[str],
     order: str = "date",
+    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with CHUNK, plus copies of the ``rows`` rows before each chunk.
 
     Copies carry keys, order and ``values`` (other columns null) and are marked
     by IS_COPY; apply a window over ``chunk_window`` and drop them afterwards.
+
+    ``tails_of`` may name a cheaper source of the copies: any part of ``df``
+    with at least the newest ``rows`` rows of every key and year.
     """
     base = chunked(df, order)
+    source = base if tails_of is None else chunked(tails_of, order)
     fields = [order, *values]
-    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.col(order).desc())
     tails = (
-        base.select(*keys, CHUNK, *fields)
-        .withColumn("_n", F.row_number().over(newest))
-        .filter(F.col("_n") <= rows)
+        newest_in_chunk(source.select(*keys, CHUNK, *fields), keys, rows, order)
         .groupBy(*keys, CHUNK)
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_tail"))
     )
@@ -81,12 +93,17 @@ def originals(df: DataFrame) -> DataFrame:
 
 
 def moving_average(
-    df: DataFrame, keys: Sequence[str], value: str, rows: int, name: str,
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    rows: int,
+    name: str,
     order: str = "date",
+    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the current and ``rows - 1`` preceding rows, partial at the start."""
     frame = chunk_window(keys, order).rowsBetween(1 - rows, 0)
-    wide = look_back(df, keys, rows - 1, [value], order)
+    wide = look_back(df, keys, rows - 1, [value], order, tails_of)
     return originals(wide.withColumn(name, F.avg(value).over(frame)))
 
 

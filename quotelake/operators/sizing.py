@@ -14,7 +14,8 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast for a side within the bound. A larger side is returned
     as it is and joined by shuffle, where adaptive execution splits hot keys."""
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     return F.broadcast(df) if planned_bytes(df) <= max_bytes else df

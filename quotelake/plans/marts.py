@@ -10,7 +10,12 @@ from quotelake.functions.numeric import pct, round2
 from quotelake.operators.fx import latest_rates
 from quotelake.operators.latest import latest_per_key
 from quotelake.operators.metrics import unpivot_levels
-from quotelake.operators.series import moving_average
+from quotelake.operators.series import (
+    CHUNK,
+    chunked,
+    moving_average,
+    newest_in_chunk,
+)
 from quotelake.operators.sizing import broadcast_if_small
 from quotelake.plans.staging import SYMBOL_COLUMNS, described_symbols
 from quotelake.sources.schemas import EUR_COLUMNS, LEVELS, PRICE_COLUMNS
@@ -79,10 +84,17 @@ def with_daily_change(prices: DataFrame) -> DataFrame:
     )
 
 
-def price_history(prices: DataFrame) -> DataFrame:
-    """Mart of all prices with daily change and the 7-row EUR average."""
+def newest_of_years(bars: DataFrame) -> DataFrame:
+    """Bars that the average of the following year can reach back to."""
+    kept = newest_in_chunk(chunked(bars), ["symbol_id"], AVERAGE_ROWS - 1)
+    return kept.drop(CHUNK)
+
+
+def price_history(prices: DataFrame, tails: DataFrame | None = None) -> DataFrame:
+    """Mart of all prices with daily change and the 7-row EUR average. ``tails``
+    are the prices of ``newest_of_years``, if the caller has them apart."""
     averaged = moving_average(
-        prices, ["ticker"], "close_eur", AVERAGE_ROWS, "_average"
+        prices, ["ticker"], "close_eur", AVERAGE_ROWS, "_average", tails_of=tails
     )
     return with_daily_change(averaged).select(
         *SYMBOL_COLUMNS,
