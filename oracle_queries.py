@@ -22,6 +22,16 @@ SHOWN = (
 )
 
 
+def apart(value: str, base: str) -> str:
+    """Rounded difference."""
+    return f"round({value} - {base}, 2)"
+
+
+def apart_pct(value: str, base: str, whole: str) -> str:
+    """Rounded difference in percent of ``whole``."""
+    return f"round(({value} - {base}) / nullif({whole}, 0) * 100, 2)"
+
+
 def exact(value: str, places: int = 6) -> str:
     return f"CAST(sum(CAST({value} AS DECIMAL(28,{places}))) AS DOUBLE)"
 
@@ -349,13 +359,12 @@ TABLES = {
            AND d.rate_date = p.date AND d.to_currency = 'EUR'
       LEFT JOIN last_fx l ON l.from_currency = p.native_currency
            AND l.to_currency = 'EUR'""",
-    "history": """
+    "history": f"""
       SELECT * EXCLUDE (id, symbol_id),
-             round(close - open, 2) AS daily_change,
-             round((close - open) / nullif(open, 0) * 100, 2) AS daily_change_pct,
-             round(close_eur - open_eur, 2) AS daily_change_eur,
-             round((close_eur - open_eur) / nullif(open_eur, 0) * 100, 2)
-               AS daily_change_eur_pct,
+             {apart("close", "open")} AS daily_change,
+             {apart_pct("close", "open", "open")} AS daily_change_pct,
+             {apart("close_eur", "open_eur")} AS daily_change_eur,
+             {apart_pct("close_eur", "open_eur", "open_eur")} AS daily_change_eur_pct,
              round(avg(close_eur) OVER seven, 2) AS close_eur_7d_avg
       FROM eur_prices WINDOW seven AS (
         PARTITION BY ticker ORDER BY date ROWS 6 PRECEDING)""",
@@ -372,15 +381,14 @@ TABLES = {
     "week52": f"""
       SELECT {_described}, m.high_52week, m.low_52week, m.high_date, m.low_date,
              m.calculation_date,
-             round(high_52week - low_52week, 2) AS range_52week,
-             round((high_52week - low_52week) / nullif(low_52week, 0) * 100, 2)
-               AS range_52week_pct,
+             {apart("high_52week", "low_52week")} AS range_52week,
+             {apart_pct("high_52week", "low_52week", "low_52week")} AS range_52week_pct,
              latest_price_date, latest_close, latest_close_eur, daily_change_eur_pct,
-             round(high_52week - latest_close, 2) AS distance_from_high,
-             round((high_52week - latest_close) / nullif(high_52week, 0) * 100, 2)
+             {apart("high_52week", "latest_close")} AS distance_from_high,
+             {apart_pct("high_52week", "latest_close", "high_52week")}
                AS pct_below_52w_high,
-             round(latest_close - low_52week, 2) AS distance_from_low,
-             round((latest_close - low_52week) / nullif(low_52week, 0) * 100, 2)
+             {apart("latest_close", "low_52week")} AS distance_from_low,
+             {apart_pct("latest_close", "low_52week", "low_52week")}
                AS pct_above_52w_low
       FROM last_metrics m JOIN symbols s ON s.id = m.symbol_id AND s.is_active
       LEFT JOIN last_price p ON p.ticker = s.ticker""",
@@ -389,12 +397,12 @@ TABLES = {
       FROM last_thresholds,
       LATERAL (VALUES {", ".join(f"({n}, decrease_{n}_price)" for n in LEVELS)})
         AS v(pct_below, threshold_price)""",
-    "ladder": """
+    "ladder": f"""
       SELECT s.ticker, s.name AS etf_name, s.exchange, s.currency AS native_currency,
              u.calculation_date, u.high_52week_price, u.pct_below, u.threshold_price,
              coalesce(latest_close <= threshold_price, false) AS is_at_or_below_threshold,
-             round(latest_close - threshold_price, 2) AS gap_to_threshold,
-             round((latest_close - threshold_price) / nullif(threshold_price, 0) * 100, 2)
+             {apart("latest_close", "threshold_price")} AS gap_to_threshold,
+             {apart_pct("latest_close", "threshold_price", "threshold_price")}
                AS gap_to_threshold_pct,
              latest_close, latest_close_eur
       FROM level_rows u JOIN symbols s ON s.id = u.symbol_id AND s.is_active
@@ -500,11 +508,17 @@ _NOT_NULL = {
         "id", "isin", "ticker", "name", "asset_type", "exchange", "currency"],
     ("currency_rates", "currency_rates"): [
         "id", "from_currency", "to_currency", "rate_date", "exchange_rate"],
-    ("etf_data", "etf_data"): ["id", "symbol_id", "date", "open", "high", "low", "close"],
+    ("etf_data", "etf_data"): ["id", "symbol_id", "date", "close"],
     ("fifty_two_week_metrics", "metrics"): ["id", "symbol_id", "calculation_date"],
     ("decrease_thresholds", "thresholds"): ["id", "symbol_id", "calculation_date"],
-    ("stg_prices", "staged"): ["symbol_id", "ticker", "date", "close", "close_eur"],
+    ("stg_etf_data", "staged"): ["id", "symbol_id", "ticker", "date", "close"],
+    ("stg_currency_rates", "staged_fx"): [
+        "id", "from_currency", "to_currency", "rate_date", "exchange_rate"],
+    ("mart_price_history", "history"): ["ticker", "date", "close", "close_eur"],
+    ("mart_52week_metrics", "week52"): ["ticker", "high_52week", "low_52week"],
+    ("mart_entry_thresholds", "ladder"): ["ticker", "pct_below", "threshold_price"],
 }
+_RAW = list(_NOT_NULL)[:5]
 
 
 def _repeats(table: str, source: str, columns: str) -> str:
@@ -518,7 +532,7 @@ def _repeats(table: str, source: str, columns: str) -> str:
 def _freshness() -> str:
     parts = [
         f"SELECT '{shown}' AS table_name, max(created_at) AS newest FROM {source}"
-        for shown, source in [k for k in _NOT_NULL if k[0] != "stg_prices"]
+        for shown, source in _RAW
     ]
     age = (
         f"date_diff('second', newest, CAST({_newest} AS TIMESTAMP) + INTERVAL 34 HOUR)"
@@ -816,11 +830,15 @@ QUERIES = {
         for t, s, c in [
             ("symbols", "symbols", "id"),
             ("symbols", "symbols", "isin"),
+            ("symbols", "symbols", "ticker"),
             ("symbols", "symbols", "name"),
             ("currency_rates", "currency_rates", "id"),
             ("etf_data", "etf_data", "id"),
             ("fifty_two_week_metrics", "metrics", "id"),
             ("decrease_thresholds", "thresholds", "id"),
+            ("stg_etf_data", "staged", "id"),
+            ("stg_currency_rates", "staged_fx", "id"),
+            ("mart_52week_metrics", "week52", "ticker"),
         ]
     ),
     "dq_unique_composite": " UNION ALL ".join(
@@ -853,6 +871,12 @@ QUERIES = {
     "range_preset": _history_cut(f"date BETWEEN {_top} - 365 AND {_top}"),
     "range_custom": _history_cut("date BETWEEN DATE '1997-03-01' AND DATE '1999-06-30'"),
     "range_calendar": _history_cut(f"date >= make_date(year({_top}) - 2, 1, 1)"),
+    "range_or_recent": f"""
+      SELECT ticker, date, close_eur
+      FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n,
+                   max(date) OVER (PARTITION BY ticker) >= {_top} - 30 AS is_recent
+            FROM history)
+      WHERE CASE WHEN is_recent THEN date >= {_top} - 30 ELSE n <= 100 END""",
     "row_slice": """
       WITH p AS (SELECT ticker, date, close_eur,
                    row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS position,

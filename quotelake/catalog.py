@@ -605,19 +605,41 @@ def dq_batch(spark, folder):
     return report.withColumn("issues", F.concat_ws("; ", "issues"))
 
 
-def _tested_tables(spark, folder):
+def _raw_tables(spark, folder):
     lake = lake_for(spark, folder)
-    return {name: lake.raw(name) for name in quality.NOT_NULL}
+    return {
+        name: lake.raw(name)
+        for name in (
+            "symbols",
+            "currency_rates",
+            "etf_data",
+            "fifty_two_week_metrics",
+            "decrease_thresholds",
+        )
+    }
+
+
+def _tested_tables(spark, folder):
+    """Raw, staged and published tables by the names the tests use."""
+    lake = _published(spark, folder)
+    marts_tested = ("mart_price_history", "mart_52week_metrics", "mart_entry_thresholds")
+    return {
+        **_raw_tables(spark, folder),
+        "stg_etf_data": lake.staged_prices(),
+        "stg_currency_rates": lake.staged_fx(),
+        **{name: lake.mart(name) for name in marts_tested},
+    }
 
 
 @query
 def dq_not_null(spark, folder):
     tables = _tested_tables(spark, folder)
-    tests = [(n, df, quality.NOT_NULL[n]) for n, df in tables.items()]
-    staged = lake_for(spark, folder).staged_prices()
-    tests.append(("stg_prices", staged, ["symbol_id", "ticker", "date", "close", "close_eur"]))
-    frames = [quality.null_counts(df, name, columns) for name, df, columns in tests]
-    return quality.union_all(frames)
+    return quality.union_all(
+        [
+            quality.null_counts(tables[name], name, columns)
+            for name, columns in quality.NOT_NULL.items()
+        ]
+    )
 
 
 @query
@@ -634,7 +656,7 @@ def dq_unique(spark, folder):
 
 @query
 def dq_unique_composite(spark, folder):
-    tables = _tested_tables(spark, folder)
+    tables = _raw_tables(spark, folder)
     return quality.union_all(
         [
             quality.uniqueness(tables[name], name, keys)
@@ -647,12 +669,12 @@ def dq_unique_composite(spark, folder):
 def dq_freshness(spark, folder):
     newest = newest_date(_bars(spark, folder)).cast("timestamp_ntz")
     as_of = F.timestamp_add("HOUR", F.lit(34), newest)
-    return quality.freshness(_tested_tables(spark, folder), as_of)
+    return quality.freshness(_raw_tables(spark, folder), as_of)
 
 
 @query
 def dq_foreign_key(spark, folder):
-    tables = _tested_tables(spark, folder)
+    tables = _raw_tables(spark, folder)
     children = {
         n: tables[n]
         for n in ("etf_data", "fifty_two_week_metrics", "decrease_thresholds")
@@ -697,6 +719,14 @@ def range_calendar(spark, folder):
     return picked.select("ticker", "date", "close", "close_eur")
 
 
+@query
+def range_or_recent(spark, folder):
+    """The last month; a ticker without bars in it shows its last 100."""
+    history = _history(spark, folder)
+    picked = reports.in_preset(history, "1M")
+    return reports.or_recent(picked, history).select("ticker", "date", "close_eur")
+
+
 @query
 def row_slice(spark, folder):
     return reports.row_slice(_history(spark, folder), 60)

@@ -94,7 +94,7 @@ def growth_of_amount(
     prices: DataFrame, amount: float, years: int, end: Column
 ) -> DataFrame:
     """Value of an amount invested at the first close in [end - years, end]."""
-    start = F.add_months(end, -12 * years)
+    start = month_step(end, F.lit(-12 * years))
     zero = F.lit(0.0)
     some = F.coalesce(F.nullif(F.col("close_eur"), zero), F.nullif(F.col("close"), zero))
     ranged = in_dates(prices, "date", start, end).select(

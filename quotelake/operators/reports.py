@@ -24,8 +24,10 @@ from quotelake.operators.sizing import broadcast_if_small
 from quotelake.sources.schemas import LEVELS
 from quotelake.sources.storage import in_dates
 
-# Sparkline length, slider window, profit targets in percent.
+# Sparkline length, bars shown when a range is empty, slider window,
+# profit targets in percent.
 SPARK_POINTS = 30
+RECENT_ROWS = 100
 SLICE_ROWS = 50
 PROFIT_TARGETS = (10, 20, 50, 100)
 
@@ -164,6 +166,13 @@ def in_calendar_preset(prices: DataFrame, preset: str, today: Column) -> DataFra
     return in_dates(prices, "date", calendar.calendar_start(preset, today))
 
 
+def or_recent(ranged: DataFrame, prices: DataFrame, rows: int = RECENT_ROWS) -> DataFrame:
+    """``ranged``, plus the newest bars of every ticker that has none in it."""
+    shown = ranged.select("ticker").distinct()
+    absent = prices.join(shown, "ticker", "left_anti")
+    return ranged.unionByName(top_n_per_key(absent, ["ticker"], "date", rows))
+
+
 def row_slice(
     prices: DataFrame, slider: float, rows: int = SLICE_ROWS
 ) -> DataFrame:

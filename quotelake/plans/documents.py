@@ -51,11 +51,14 @@ def symbol_documents(
     end: Column,
     updated_at: Column,
     months: int = 36,
+    start: Column | None = None,
 ) -> DataFrame:
     """One document per active symbol. The price array spans ``months`` months
-    of daily bars keyed by date, so its length is bounded by the calendar
-    (36 months: at most 1,097 entries) however large the table is."""
-    recent = in_dates(bars, "date", F.add_months(end, -months), end)
+    (or begins at ``start``) of daily bars keyed by date, so its length is
+    bounded by the calendar (36 months: at most 1,097 entries) however large the
+    table is."""
+    first = F.add_months(end, -months) if start is None else start
+    recent = in_dates(bars, "date", first, end)
     entry = F.struct("date", *PRICE_COLUMNS, "volume", *EUR_COLUMNS)
     prices = recent.groupBy("symbol_id").agg(
         F.sort_array(F.collect_list(entry)).alias("priceData")

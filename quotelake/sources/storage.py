@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,13 +95,20 @@ def read_optional(
     return spark.createDataFrame([], schema)
 
 
+def _day(bound) -> Column:
+    return F.lit(bound).cast("date") if isinstance(bound, str) else bound
+
+
 def in_dates(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
-    """Inclusive date filter that also prunes year partitions."""
-    for bound, keep in ((start, "__ge__"), (end, "__le__")):
-        if bound is None:
-            continue
-        limit = bound if not isinstance(bound, str) else F.lit(bound).cast("date")
-        df = df.filter(getattr(F.col(column), keep)(limit))
-        if YEAR in df.columns:
-            df = df.filter(getattr(F.col(YEAR), keep)(F.year(limit)))
+    """Inclusive date filter that also prunes year partitions. Bounds are date
+    text or date columns, scalar subqueries included."""
+    dated = YEAR in df.columns
+    if start is not None:
+        first = _day(start)
+        df = df.filter(F.col(column) >= first)
+        df = df.filter(F.col(YEAR) >= F.year(first)) if dated else df
+    if end is not None:
+        last = _day(end)
+        df = df.filter(F.col(column) <= last)
+        df = df.filter(F.col(YEAR) <= F.year(last)) if dated else df
     return df

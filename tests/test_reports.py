@@ -205,3 +205,16 @@ def test_coverage_counts_symbols_without_bars(spark):
         for r in reports.eur_coverage(bars, symbols).collect()
     }
     assert found == {1: (2, 1, 1), 2: (0, 0, 1)}
+
+
+def test_recent_bars_stand_in_for_an_empty_range(spark):
+    days = spark.range(150).select(
+        F.lit("OLD").alias("ticker"),
+        F.date_add(F.lit(date(2023, 1, 1)), F.col("id").cast("int")).alias("date"),
+        F.lit(1.0).alias("close"),
+        F.lit(1.0).alias("close_eur"),
+    )
+    prices = days.unionByName(history(spark, NEW=[1.0, 2.0]))
+    shown = reports.or_recent(reports.in_preset(prices, "1M"), prices)
+    counts = {r.ticker: r["count"] for r in shown.groupBy("ticker").count().collect()}
+    assert counts == {"OLD": 100, "NEW": 2}
