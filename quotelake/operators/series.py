@@ -46,6 +46,24 @@ def newest_in_chunk(
     return ranked.filter(F.col("_n") <= rows).drop("_n")
 
 
+def _tails(
+    df: DataFrame, keys: Sequence[str], rows: int, fields: Sequence[str]
+) -> DataFrame:
+    """The newest ``rows`` rows of every key and chunk as one sorted array. A
+    single row needs no sort: a hash aggregate finds it."""
+    order, *values = fields
+    if rows == 1:
+        newest = df.groupBy(*keys, CHUNK).agg(
+            F.max(order).alias(order), *(F.max_by(v, order).alias(v) for v in values)
+        )
+        return newest.select(*keys, CHUNK, F.array(F.struct(*fields)).alias("_tail"))
+    return (
+        newest_in_chunk(df, keys, rows, order)
+        .groupBy(*keys, CHUNK)
+        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_tail"))
+    )
+
+
 def look_back(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,11 +83,7 @@ def look_back(
     base = chunked(df, order)
     source = base if tails_of is None else chunked(tails_of, order)
     fields = [order, *values]
-    tails = (
-        newest_in_chunk(source.select(*keys, CHUNK, *fields), keys, rows, order)
-        .groupBy(*keys, CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_tail"))
-    )
+    tails = _tails(source.select(*keys, CHUNK, *fields), keys, rows, fields)
     before = _earlier_chunks(keys).rowsBetween(-rows, -1)
     carried = F.flatten(F.collect_list("_tail").over(before))
     short = F.slice(carried, -F.least(F.size(carried), F.lit(rows)), rows)
