@@ -29,7 +29,7 @@ from quotelake.plans.refresh import copy_lake
 from quotelake.sources import derive, files
 from quotelake.sources.lake import Lake, build_raw, lake_for
 from quotelake.sources.schemas import BAR_FILE, EUR_COLUMNS
-from quotelake.sources.storage import YEAR, new_folder
+from quotelake.sources.storage import MONTH, new_folder
 from quotelake.streaming.bars import load_landed_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def _loaded_at():
 
 def _plain(df: DataFrame) -> DataFrame:
     """Without the storage partition column."""
-    return df.drop(YEAR)
+    return df.drop(MONTH)
 
 
 def _bars(spark: SparkSession, folder: str) -> DataFrame:

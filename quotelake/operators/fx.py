@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quotelake.functions.currency import BASE_CURRENCY, convert
 from quotelake.functions.numeric import ratio, round2
 from quotelake.operators.latest import latest_per_key
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
 from quotelake.sources.schemas import EUR_COLUMNS, PRICE_COLUMNS
 from quotelake.sources.storage import in_dates
 
@@ -147,7 +147,7 @@ def _with_day_rate(bars: DataFrame, symbols: DataFrame, rates: DataFrame) -> Dat
         F.col("exchange_rate").alias("_rate"),
     )
     return bars.join(broadcast_if_small(owners), "symbol_id", "left").join(
-        broadcast_if_small(days), ["_currency", "date"], "left"
+        broadcast_if_small(days, RATE_BYTES), ["_currency", "date"], "left"
     )
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 * 1024 * 1024
+#: Rates hold one row per currency and day, so the calendar bounds them: some 180
+#: currencies over 50 years are about 3 million rows.
+RATE_BYTES = 48 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:

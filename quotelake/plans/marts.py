@@ -16,7 +16,7 @@ from quotelake.operators.series import (
     moving_average,
     newest_in_chunk,
 )
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
 from quotelake.plans.staging import SYMBOL_COLUMNS, described_symbols
 from quotelake.sources.schemas import EUR_COLUMNS, LEVELS, PRICE_COLUMNS
 
@@ -47,8 +47,8 @@ def eur_prices(staged: DataFrame, staged_fx: DataFrame) -> DataFrame:
         F.col("exchange_rate").alias("_newest"),
     )
     joined = staged.join(
-        broadcast_if_small(by_day), ["native_currency", "date"], "left"
-    ).join(broadcast_if_small(newest), "native_currency", "left")
+        broadcast_if_small(by_day, RATE_BYTES), ["native_currency", "date"], "left"
+    ).join(broadcast_if_small(newest, RATE_BYTES), "native_currency", "left")
     foreign = F.col("native_currency") != BASE_CURRENCY
     filled = {
         target: F.coalesce(

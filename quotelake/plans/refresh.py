@@ -12,32 +12,32 @@ from quotelake.operators.loading import load_bars, load_metrics, load_thresholds
 from quotelake.operators.metrics import metrics_52week
 from quotelake.operators.quality import accepted, batch_report
 from quotelake.sources.lake import DATED, Lake
-from quotelake.sources.storage import YEAR, settle, write_dated
+from quotelake.sources.storage import MONTH, month_of, settle, write_dated
 
 
-def merge_years(
+def merge_months(
     lake: Lake,
     table: str,
-    years: list[int],
+    months: list[int],
     merge: Callable[[DataFrame, Column], DataFrame],
     staging: str,
 ) -> None:
-    """Replace the given year partitions of a stored table by a merge of them.
+    """Replace the given month partitions of a stored table by a merge of them.
 
     The merge is staged completely before the table is touched. A rerun with
     the same staging folder skips a finished merge and only copies it again, so
     a job lost half way neither loses rows nor applies a batch twice.
     """
     stored = lake.raw(table)
-    current = stored.filter(F.col(YEAR).isin(years)).drop(YEAR)
+    current = stored.filter(F.col(MONTH).isin(months)).drop(MONTH)
     merged = settle(merge(current, next_id(stored)), staging)
     write_dated(merged, lake.path(table), *DATED[table], replace_all=False)
 
 
-def years_of(df: DataFrame, date_column: str) -> list[int]:
-    """Years a batch touches: a handful of integers, bounded by the calendar."""
-    rows = df.select(F.year(date_column).alias(YEAR)).distinct().collect()
-    return sorted(r[YEAR] for r in rows)
+def months_of(df: DataFrame, date_column: str) -> list[int]:
+    """Months a batch touches: a handful of integers, bounded by the calendar."""
+    rows = df.select(month_of(F.col(date_column)).alias(MONTH)).distinct().collect()
+    return sorted(r[MONTH] for r in rows)
 
 
 def load_batch(
@@ -50,8 +50,8 @@ def load_batch(
     """
     gated = accepted(landed, batch_report(landed.drop("seq")))
     passed = settle(gated, f"{staging}/accepted")
-    years = years_of(passed, "date")
-    if not years:
+    months = months_of(passed, "date")
+    if not months:
         return
     symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
 
@@ -60,7 +60,7 @@ def load_batch(
             current, passed, symbols, rates, loaded_at, first_new_id=first_id
         )
 
-    merge_years(lake, "etf_data", years, bars, f"{staging}/etf_data")
+    merge_months(lake, "etf_data", months, bars, f"{staging}/etf_data")
     refresh_metrics(lake, passed.select("symbol_id"), loaded_at, as_of, staging)
 
 
@@ -71,18 +71,18 @@ def refresh_metrics(
     day = F.lit(as_of).cast("date")
     bars = lake.raw("etf_data").join(touched.distinct(), "symbol_id", "left_semi")
     computed = settle(metrics_52week(bars, day), f"{staging}/metrics")
-    year = [int(as_of[:4])]
-    merge_years(
+    month = [int(as_of[:4]) * 100 + int(as_of[5:7])]
+    merge_months(
         lake,
         "fifty_two_week_metrics",
-        year,
+        month,
         lambda current, first_id: load_metrics(current, computed, loaded_at, first_id),
         f"{staging}/fifty_two_week_metrics",
     )
-    merge_years(
+    merge_months(
         lake,
         "decrease_thresholds",
-        year,
+        month,
         lambda current, first_id: load_thresholds(
             current, computed, loaded_at, first_id
         ),
@@ -97,5 +97,5 @@ def copy_lake(spark: SparkSession, source: Lake, root: str) -> Lake:
         if table.startswith("mart_"):
             continue
         stored = source.raw(table)
-        target.write(table, stored.drop(YEAR) if table in DATED else stored)
+        target.write(table, stored.drop(MONTH) if table in DATED else stored)
     return target

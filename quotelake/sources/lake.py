@@ -9,14 +9,14 @@ from quotelake.session import configure
 from quotelake.sources import derive
 from quotelake.sources.schemas import MART_FX_RATES, RAW_TABLES
 from quotelake.sources.storage import (
-    YEAR,
+    MONTH,
     new_folder,
     read_optional,
     read_table,
     write_dated,
 )
 
-#: Date column and file clustering of the tables stored by year.
+#: Date column and file clustering of the tables stored by month.
 DATED = {
     "etf_data": ("date", ["symbol_id", "date"]),
     "fifty_two_week_metrics": ("calculation_date", ["symbol_id"]),
@@ -41,7 +41,7 @@ class Lake:
             df.write.mode("overwrite").parquet(self.path(name))
 
     def raw(self, name: str) -> DataFrame:
-        """Raw table with its declared schema; dated ones also carry ``year``,
+        """Raw table with its declared schema; dated ones also carry ``month``,
         on which date filters prune."""
         return read_table(self.spark, self.path(name), RAW_TABLES[name], name in DATED)
 
@@ -107,7 +107,7 @@ def build_raw(spark: SparkSession, folder: str) -> Lake:
     symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
     lake.write("etf_data", derive.etf_data(spark, folder, symbols, rates))
     lake.write("fifty_two_week_metrics", derive.metrics(lake.raw("etf_data")))
-    stored = lake.raw("fifty_two_week_metrics").drop(YEAR)
+    stored = lake.raw("fifty_two_week_metrics").drop(MONTH)
     lake.write("decrease_thresholds", derive.thresholds(stored))
     lake.write("holdings", derive.holdings(spark, folder))
     return lake

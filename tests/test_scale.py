@@ -56,7 +56,7 @@ def test_hot_keys(spark, hot_folder, name):
 @pytest.mark.parametrize("name", JOINING)
 def test_without_any_broadcast(spark, folder, monkeypatch, name):
     lake_for(spark, folder, published=True)
-    monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(sizing, "planned_bytes", lambda df: 2**62)
     keys = [
         "spark.sql.autoBroadcastJoinThreshold",
         "spark.sql.adaptive.autoBroadcastJoinThreshold",
@@ -88,9 +88,9 @@ def scans(plan):
     return found
 
 
-def test_52_week_window_reads_two_years(spark, folder):
+def test_52_week_window_reads_thirteen_months(spark, folder):
     bars = lake_for(spark, folder).raw("etf_data")
     df = metrics_52week(bars, newest_date(bars))
     df.collect()
-    assert scans(df._jdf.queryExecution().executedPlan()) == [2]
-    assert bars.select("year").distinct().count() > 2
+    assert scans(df._jdf.queryExecution().executedPlan()) == [13]
+    assert bars.select("month").distinct().count() > 80

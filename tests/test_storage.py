@@ -57,10 +57,10 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_date_filters_prune_years_and_reach_the_scan(spark, folder):
+def test_date_filters_prune_months_and_reach_the_scan(spark, folder):
     bars = lake_for(spark, folder).raw("etf_data")
     plan = plan_of(in_dates(bars, "date", "1998-01-01", "1998-06-30").select("close"))
-    assert "PartitionFilters: [isnotnull(year" in plan
+    assert "PartitionFilters: [isnotnull(month" in plan
     assert "GreaterThanOrEqual(date,1998-01-01)" in plan
     scan = plan.split("ReadSchema: ")[1]
     assert scan.startswith("struct<date:date,close:double>")
