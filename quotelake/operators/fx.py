@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.currency import BASE_CURRENCY, convert
-from quotelake.functions.numeric import ratio, round2
+from quotelake.functions.numeric import round2
 from quotelake.operators.latest import latest_per_key
 from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
 from quotelake.sources.schemas import EUR_COLUMNS, PRICE_COLUMNS
