@@ -7,10 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotelake.llm import exact_dedup, packing, pfair_mixing, simhash
+from quotelake.llm import exact_dedup, packing, pfair_mixing, quality_knn, simhash
 from quotelake.llm.common import stored, table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the neighbours' votes reject go."""
+    return quality_knn.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.deduplicated(docs)
@@ -32,6 +37,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good_quality),
     ("exact dedup", exact_copies),
     ("near dedup", near_copies),
     ("mixture", mixture),

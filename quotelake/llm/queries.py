@@ -9,8 +9,10 @@ from quotelake.llm import (
     exact_dedup,
     packing,
     pfair_mixing,
+    quality_knn,
     sharding,
     simhash,
+    toxicity_pu,
 )
 from quotelake.llm.common import table
 
@@ -29,6 +31,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mixing.report(table(spark, sf_dir, "documents"))
 
@@ -50,9 +56,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_pu.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_simhash, op3_sharding, op6_pfair_mixing, op7_exact_dedup, op9_packing)
+    for f in (
+        op2_simhash,
+        op3_sharding,
+        op4_quality_knn,
+        op6_pfair_mixing,
+        op7_exact_dedup,
+        op9_packing,
+        op10_toxicity_pu,
+    )
 }
 
 SQL = {
