@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import (
+    credentials,
+    edit_fingerprints,
     exact_dedup,
     packing,
     pfair_mixing,
@@ -35,6 +37,10 @@ def op4_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mixing.report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +58,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest_rows(credentials.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -66,8 +76,10 @@ QUERIES = {
         op2_simhash,
         op3_sharding,
         op4_quality_knn,
+        op5_edit_fingerprints,
         op6_pfair_mixing,
         op7_exact_dedup,
+        op8_credentials,
         op9_packing,
         op10_toxicity_pu,
     )
