@@ -9,6 +9,7 @@ from quotelake.llm import (
     credentials,
     edit_fingerprints,
     exact_dedup,
+    lm_scoring,
     packing,
     pfair_mixing,
     quality_knn,
@@ -19,6 +20,10 @@ from quotelake.llm import (
 from quotelake.llm.common import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -73,6 +78,7 @@ def op10_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_lm_scoring,
         op2_simhash,
         op3_sharding,
         op4_quality_knn,

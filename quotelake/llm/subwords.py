@@ -69,8 +69,13 @@ class WordEncoder:
             ids += self.marks[tail]
         return ids
 
-    def words_of(self, text: str) -> list[bytes]:
-        return text.encode("utf-8").translate(LOWER).split()
+    def word(self, word: bytes) -> bytes:
+        """Ids of one word, lower-cased in A-Z."""
+        found = self.words.get(word)
+        if found is None:
+            self.add([word])
+            found = self.words[word]
+        return found
 
     def add(self, words: list[bytes]) -> None:
         """Make sure that the cache holds these words."""
