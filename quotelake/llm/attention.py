@@ -1,7 +1,7 @@
 """A causal self-attention model over subword classes, in numpy.
 
 Subword ids fall into fine classes, and these into coarse ones: the most frequent ids have a class each, the others
-share classes by frequency and by whether they end a word. The model predicts the coarse class
+share classes by frequency and by whether they begin a word. The model predicts the coarse class
 from the fine classes before it; the id within its class gets its probability from corpus counts, so every
 id has one.
 
@@ -19,13 +19,13 @@ import numpy as np
 
 CHUNK = 16
 CONTEXT = 2 * CHUNK
-COARSE = (96, 31)
+COARSE = (80, 23)
 FINE = (448, 63)
 WIDTH = 24
 
 #: Windows in a training step, and windows scored at a time.
 STEP_WINDOWS = 256
-SCORE_WINDOWS = 512
+SCORE_WINDOWS = 256
 
 
 @dataclass(frozen=True)
@@ -46,16 +46,16 @@ class Classes:
         return len(self.coarse_of), sum(COARSE) + 1
 
 
-def _grouped(weights: np.ndarray, ends_word: np.ndarray, own: int, shared: int) -> np.ndarray:
+def _grouped(weights: np.ndarray, begins_word: np.ndarray, own: int, shared: int) -> np.ndarray:
     """Numbers from 1: the ``own`` heaviest items one each; the others in ``shared`` groups of like
-    weight, those that end words apart from the rest."""
+    weight, those that begin words apart from the rest."""
     order = np.lexsort((np.arange(len(weights)), -weights))
     found = np.zeros(len(weights), dtype=np.int64)
     found[order[:own]] = 1 + np.arange(len(order[:own]))
     first = own + 1
-    for ends, n in ((True, shared // 2), (False, shared - shared // 2)):
+    for begins, n in ((True, shared // 2), (False, shared - shared // 2)):
         rest = order[own:]
-        rest = rest[ends_word[rest] == ends]
+        rest = rest[begins_word[rest] == begins]
         if len(rest):
             sums = np.cumsum(weights[rest])
             found[rest] = first + np.minimum((sums / sums[-1] * n).astype(int), n - 1)
@@ -63,14 +63,14 @@ def _grouped(weights: np.ndarray, ends_word: np.ndarray, own: int, shared: int)
     return found
 
 
-def make_classes(counts: np.ndarray, ends_word: np.ndarray) -> Classes:
+def make_classes(counts: np.ndarray, begins_word: np.ndarray) -> Classes:
     smooth = counts + 1.0
-    fine = _grouped(smooth, ends_word, *FINE)
+    fine = _grouped(smooth, begins_word, *FINE)
     n_fine, n_coarse = sum(FINE) + 1, sum(COARSE) + 1
     heavy = np.bincount(fine, smooth, n_fine)[1:]
-    ends = np.zeros(n_fine, dtype=bool)
-    ends[fine] = ends_word
-    coarse_of = np.append(0, _grouped(heavy + 1e-9, ends[1:], *COARSE))
+    begins = np.zeros(n_fine, dtype=bool)
+    begins[fine] = begins_word
+    coarse_of = np.append(0, _grouped(heavy + 1e-9, begins[1:], *COARSE))
     total = np.bincount(coarse_of[fine], smooth, n_coarse)
     return Classes(fine.astype(np.uint16), coarse_of.astype(np.uint8), smooth / total[coarse_of[fine]])
 
@@ -157,28 +157,30 @@ def text_scores(w: Weights, flat: np.ndarray, lengths: np.ndarray, coarse_of: np
     coarse_of = np.append(coarse_of, np.uint8(n))
     pair, far = _tables(w)
     v, r, after = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r, w.after))
+    v = np.hstack([v, np.ones((n + 1, 1), np.float32)])
+    flat_pair, row = pair.ravel(), np.arange(len(pair), dtype=np.int32) * len(pair)
+    ones = np.ones(n, np.float32)
     found = np.zeros(len(inputs))
     real = np.flatnonzero((targets != n).any(axis=1))
     for at in range(0, len(real), SCORE_WINDOWS):
         rows = real[at : at + SCORE_WINDOWS]
         queries, aim = inputs[rows], targets[rows]
         keys = coarse_of[np.concatenate([inputs[rows - 1], queries], axis=1)]
-        weight = pair[keys[:, CHUNK:, None], keys[:, None, :]]
+        weight = flat_pair.take(row.take(keys[:, CHUNK:])[:, :, None] + keys[:, None, :])
         weight *= far
-        total = weight.sum(axis=2, keepdims=True)
-        read = np.matmul(weight, v[keys])
-        read /= np.where(total > 0, total, 1)
-        hidden = read.reshape(-1, WIDTH)
+        # the last column of the values is one: it sums the weights up
+        read = np.matmul(weight, v.take(keys, axis=0)).reshape(-1, WIDTH + 1)
+        hidden = read[:, :WIDTH] / np.maximum(read[:, WIDTH:], 1e-30)
         last = queries.ravel()
-        hidden += r[last]
+        hidden += r.take(last, axis=0)
         np.maximum(hidden, 0, out=hidden)
         logits = hidden @ w.out
-        logits += after[last]
+        logits += after.take(last, axis=0)
         aim = aim.ravel()
         inside = aim != n
         chosen = logits[np.arange(len(aim)), np.where(inside, aim, 0)]
         np.exp(logits, out=logits)
-        given = np.where(inside, chosen - np.log(logits.sum(axis=1)), 0)
+        given = np.where(inside, chosen - np.log(logits @ ones), 0)
         found[rows] = given.reshape(len(rows), CHUNK).sum(axis=1, dtype=np.float64)
     return np.add.reduceat(found, first[:-1]) / np.log(10) if len(lengths) else np.zeros(0)
 

@@ -1,24 +1,25 @@
 """Language-model scores of whole texts, beside a unigram base score.
 
-Everything counted covers all training documents: words, subword ids, and pairs of a subword's class
-and the next id within words. The counts give the id classes, the shares of ids within
-classes, and the first logits of the attention model (``attention.py``).
+One pass reads every document. A task keeps its documents in blocks, gives each word of a block its subword
+ids once, and stores each document's ids, and for each word which documents of the block hold it how
+often. All else works on these stored rows.
+
+Everything counted covers all training documents: words, subword ids, and pairs of a subword's class and the next
+id. The counts give the id classes, the shares of ids within classes, and the first logits of
+the attention model (``attention.py``).
 
 Its other weights are trained in numpy. A first model learns from ``WARM`` documents; then
-trainers, one for each ``TRAINER_WORDS`` words of the corpus, go on from it with one document in
+trainers, one for each ``TRAINER_WORDS`` tokens of the corpus, go on from it with one document in
 ``TRAINED`` each from their own share of the documents, and their weights are averaged in a tree. What
 is learned from grows with the corpus.
 
-Scoring reads every document once. A task keeps its documents in blocks, encodes each word of a block
-once, scores the blocks' windows in batches, and stores for each word which documents of the block hold
-it how often. These posting lists, not single words, are joined with the word counts for the base score; a
-frequent word has one row for each block, and adaptive execution may split those.
+The base score joins posting lists, not single words, with the word counts; a frequent word has
+one row for each block, and adaptive execution may split those.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,12 @@ from pyspark.sql import functions as F
 from quotelake.llm import attention
 from quotelake.llm.attention import Classes, Weights
 from quotelake.llm.common import LOWER, id_remainder, stored, text_of
-from quotelake.llm.subwords import WordEncoder, tokenizer_path
+from quotelake.llm.subwords import ByteWords, tokenizer_path
 
 FOLDS, HELD_OUT = 7, 2
+VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Distinct words that a counting task holds at a time.
-COUNTED_WORDS = 1_000_000
-
-#: Words and documents of a scoring block.
+#: Words and documents of a block.
 BLOCK_WORDS = 2_000_000
 BLOCK_DOCS = 16_384
 
@@ -45,14 +44,20 @@ HELD_BLOCKS = 300
 
 WARM = 800
 WARM_ROUNDS = 3
-TRAINED = 40
+TRAINED = 80
 TRAINER_WORDS = 25_000_000
 RATE = 0.02
 
+#: Ids whose counts after each class are kept; the others follow their share of the class.
+PAIRED = 4096
+
 #: Weight of an id's share of its class against its counts after the class before it.
 BACKOFF = 5.0
 
-BLOCKS = "block long, doc int, doc_id long, held_out boolean, n_tokens long, score double, word binary, postings binary"
+#: Subword ids scored at a time, about.
+SCORED_IDS = 2_000_000
+
+BLOCKS = "block long, doc int, doc_id long, held_out boolean, n_tokens long, ids binary, word binary, n long, postings binary"
 
 
 def _binaries(parts: list[bytes]) -> pa.Array:
@@ -70,44 +75,13 @@ def _split(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(LOWER).split()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) of all words of ``texts``."""
-
-    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [_binaries(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
-            )
-            counts.clear()
-            return batch
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(_split(text))
-                if len(counts) > COUNTED_WORDS:
-                    yield flush()
-        yield flush()
-
-    return texts.select("text").mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _encoded_words(counts: DataFrame, path: str) -> DataFrame:
-    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [_binaries([encoder.word(w) for w in batch.column(0).to_pylist()]), batch.column(1)], names=["ids", "n"]
-            )
-
-    return counts.select("word", "n").mapInArrow(encoded, "ids binary, n long")
-
-
-def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of an array of id sequences, and the length of each."""
+def _ragged(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of an array of sequences, and the length of each."""
     parts = column.to_pylist()
-    return np.frombuffer(b"".join(parts), "<u4").astype(np.int64), np.array([len(p) // 4 for p in parts], dtype=np.int64)
+    return (
+        np.frombuffer(b"".join(parts), kind).astype(np.int64),
+        np.array([len(p) for p in parts], dtype=np.int64) // np.dtype(kind).itemsize,
+    )
 
 
 def _summed(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -117,107 +91,109 @@ def _summed(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.float64)
 
 
-def _partial(keys: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
-    found, at = np.unique(keys, return_inverse=True)
-    sums = np.bincount(at, weights, len(found)).astype(np.int64) if len(found) else np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums)], names=["key", "n"])
-
+def _totals(sequences: DataFrame, size: int, keys: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """How often each key below ``size`` comes up in the id sequences. A task counts its own; Spark adds them up."""
 
-def id_counts(vocabulary: DataFrame, size: int) -> np.ndarray:
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            ids, lengths = _ragged(batch.column(0))
-            total += np.bincount(ids, np.repeat(batch.column(1).to_numpy(), lengths), size)
-        yield _partial(np.flatnonzero(total), total[np.flatnonzero(total)])
+            total += np.bincount(keys(*_ragged(batch.column(0), "<u2")), minlength=size)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["key", "n"])
 
-    keys, n = _summed(vocabulary.mapInArrow(counted, "key long, n long"))
+    at, n = _summed(sequences.select("ids").mapInArrow(counted, "key long, n long"))
     found = np.zeros(size)
-    found[keys] = n
+    found[at] = n
     return found
 
 
 class Pairs:
-    """Counts of ids after fine classes within words; the class after the last stands for a word's start."""
+    """Counts of ids after fine classes, class 0 standing for the begin of a text. Of the rarer ids only their
+    class is counted."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray, classes: Classes):
-        self.keys, self.n, self.classes = keys, n, classes
-        self.start = classes.sizes[0]
-        self.by_class = np.zeros((self.start + 1, classes.sizes[1]))
-        np.add.at(self.by_class, (keys >> 16, classes.coarse[keys & 0xFFFF]), n)
+    def __init__(self, counts: np.ndarray, places: np.ndarray, classes: Classes):
+        m, n = classes.sizes
+        self.places, self.classes = places, classes
+        #: by class before and id: the paired ids, then the coarse classes of all others
+        self.counts = counts.reshape(m, PAIRED + n)
 
     @staticmethod
-    def of(ids: np.ndarray, lengths: np.ndarray, fine: np.ndarray, start: int) -> np.ndarray:
-        """Key of the class before each id and the id."""
-        before = np.empty(len(ids), dtype=np.int64)
-        before[1:] = fine[ids[:-1]]
-        firsts = (np.cumsum(lengths) - lengths)[lengths > 0]
-        before[firsts] = start
-        return before << 16 | ids
-
-    def log_share(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the id within its coarse class, given the class before it."""
-        ids = keys & 0xFFFF
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            n = np.where(self.keys[at] == keys, self.n[at], 0)
-        else:
-            n = np.zeros(len(keys))
-        of_class = self.by_class[keys >> 16, self.classes.coarse[ids]]
-        return np.log10((n + BACKOFF * self.classes.share[ids]) / (of_class + BACKOFF))
-
-    def first_logits(self, id_counts: np.ndarray, texts: int) -> np.ndarray:
-        """log probability of the next coarse class after each fine one, by the counts."""
+    def places_of(id_counts: np.ndarray, classes: Classes) -> np.ndarray:
+        """Column of each id in the counts."""
+        order = np.lexsort((np.arange(len(id_counts)), -id_counts))[:PAIRED]
+        found = PAIRED + classes.coarse.astype(np.int64)
+        found[order] = np.arange(len(order))
+        return found
+
+    def log_shares(self) -> np.ndarray:
+        """log10 probability of an id within its coarse class, by the class before it and the id's column; for
+        the columns of classes only the factor on the id's share."""
         m, n = self.classes.sizes
-        after = self.by_class[:m].copy()
-        starts = self.by_class[m].copy()
-        starts[0] = texts
-        ending = np.bincount(self.classes.fine, id_counts, m) - after.sum(axis=1)
-        ending[0] = texts
-        if starts.sum() > 0:
-            after += np.outer(np.maximum(ending, 0), starts / starts.sum())
-        overall = np.bincount(self.classes.coarse, id_counts + 1, n)
-        after += overall / overall.sum() + 1e-3
+        paired = self.places < PAIRED
+        coarse, share = np.zeros(PAIRED, np.int64), np.ones(PAIRED)
+        coarse[self.places[paired]] = self.classes.coarse[paired]
+        share[self.places[paired]] = self.classes.share[paired]
+        of_class = self.of_class()
+        found = np.zeros((m, PAIRED + n))
+        found[:, :PAIRED] = (self.counts[:, :PAIRED] + BACKOFF * share) / (of_class[:, coarse] + BACKOFF)
+        # the rest of a class is spread over the other ids by their shares
+        own = np.bincount(self.classes.coarse[~paired], self.classes.share[~paired], n)
+        rest = (self.counts[:, PAIRED:] + BACKOFF * own) / (of_class + BACKOFF)
+        found[:, PAIRED:] = rest / np.where(own > 0, own, 1)
+        return np.log10(np.maximum(found, 1e-30)).astype(np.float32)
+
+    def of_class(self) -> np.ndarray:
+        n = self.classes.sizes[1]
+        paired = self.places < PAIRED
+        member = np.zeros((PAIRED, n))
+        member[self.places[paired], self.classes.coarse[paired]] = 1
+        return self.counts[:, :PAIRED] @ member + self.counts[:, PAIRED:]
+
+    def first_logits(self, texts: int) -> np.ndarray:
+        """log probability of the next coarse class after each fine one, by the counts."""
+        after = self.of_class()
+        overall = after.sum(axis=0) + 1
+        after = after + overall / overall.sum() + 1e-3
+        # texts end about as often after any class
+        after[:, 0] = (texts + 1) / (after.sum() + texts + 1) * after.sum(axis=1)
         return np.log(after / after.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def class_pairs(vocabulary: DataFrame, classes: Classes) -> Pairs:
-    fine, start = classes.fine.astype(np.int64), classes.sizes[0]
+def _before(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The value before each one in its sequence; 0 before the first."""
+    found = np.zeros(len(values), dtype=np.int64)
+    found[1:] = values[:-1]
+    found[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+    return found
 
-    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, lengths = _ragged(batch.column(0))
-            yield _partial(Pairs.of(ids, lengths, fine, start), np.repeat(batch.column(1).to_numpy(), lengths))
 
-    return Pairs(*_summed(vocabulary.mapInArrow(counted, "key long, n long")), classes)
+def count_pairs(sequences: DataFrame, id_counts: np.ndarray, classes: Classes) -> Pairs:
+    fine, places = classes.fine.astype(np.int64), Pairs.places_of(id_counts, classes)
+    m, width = classes.sizes[0], PAIRED + classes.sizes[1]
 
+    def keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        return _before(fine[ids], lengths) * width + places[ids]
 
-def _fine_texts(texts: Iterable[str], encoder: WordEncoder, fine: np.ndarray) -> list[np.ndarray]:
-    found = []
-    for text in texts:
-        ids = b"".join(map(encoder.word, _split(text)))
-        found.append(fine[np.frombuffer(ids, "<u4")])
-    return found
+    return Pairs(_totals(sequences, m * width, keys), places, classes)
 
 
-def train_model(training: DataFrame, words: int, first: Weights, classes: Classes, path: str) -> Weights:
-    """Warm start on a bounded sample, then averaged trainers whose number grows with the words."""
+def train_model(training: DataFrame, tokens: int, first: Weights, classes: Classes) -> Weights:
+    """Warm start on a bounded sample, then averaged trainers whose number grows with the tokens."""
     sizes, fine, coarse_of = classes.sizes, classes.fine, classes.coarse_of
-    order = F.xxhash64("doc_id", F.lit("warm"))
-    sample = training.select("doc_id").orderBy(order, "doc_id").limit(WARM).distinct()
-    rows = training.join(F.broadcast(sample.withColumnRenamed("doc_id", "__id")), F.col("doc_id") == F.col("__id"))
-    texts = [r.text for r in rows.select("doc_id", "text").orderBy("doc_id").limit(WARM).collect()]
-    warm, _ = attention.train(first, _fine_texts(texts, WordEncoder(path), fine), coarse_of, WARM_ROUNDS, RATE)
+
+    def learned(w: Weights, sequences: list[bytes], rounds: int, rate: float, seed: int) -> Weights:
+        texts = [fine[np.frombuffer(ids, "<u2")] for ids in sorted(map(bytes, sequences))]
+        return attention.train(w, texts, coarse_of, rounds, rate, seed)[0]
+
+    sample = training.orderBy(F.xxhash64("ids"), "ids").limit(WARM).select("ids").collect()
+    warm = learned(first, [r.ids for r in sample], WARM_ROUNDS, RATE, 0)
     data = warm.dump()
-    trainers = max(1, -(-words // TRAINER_WORDS))
+    trainers = max(1, -(-tokens // TRAINER_WORDS))
 
     def trained(share: pa.Table) -> pa.Table:
-        number = share.column("trainer")[0].as_py()
-        texts = sorted(share.column("text").to_pylist())
-        own, _ = attention.train(
-            Weights.load(data, sizes), _fine_texts(texts, WordEncoder(path), fine), coarse_of, 1, RATE / 2, number
-        )
-        return pa.table({"trainer": [number], "weight": [float(len(texts))], "model": [own.dump()]})
+        number, sequences = share.column("trainer")[0].as_py(), share.column("ids").to_pylist()
+        own = learned(Weights.load(data, sizes), sequences, 1, RATE / 2, number)
+        return pa.table({"trainer": [number], "weight": [float(len(sequences))], "model": [own.dump()]})
 
     def averaged(models: pa.Table) -> pa.Table:
         weight = np.array(models.column("weight").to_pylist())
@@ -229,7 +205,7 @@ def train_model(training: DataFrame, words: int, first: Weights, classes: Classe
 
     schema = "trainer long, weight double, model binary"
     chosen = training.filter(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(TRAINED)) == 0).select(
-        F.pmod(F.xxhash64("doc_id", F.lit("trainer")), F.lit(trainers)).alias("trainer"), "text"
+        F.pmod(F.xxhash64("doc_id", F.lit("trainer")), F.lit(trainers)).alias("trainer"), "ids"
     )
     models = chosen.groupBy("trainer").applyInArrow(trained, schema)
     while trainers > 1:
@@ -269,32 +245,20 @@ class _Block:
     def full(self) -> bool:
         return self.n >= BLOCK_WORDS or len(self.ids) >= BLOCK_DOCS
 
-    def rows(self, number: int, encoder: WordEncoder, weights: Weights, pairs: Pairs) -> Iterator[pa.RecordBatch]:
+    def rows(self, number: int, coder: ByteWords) -> Iterator[pa.RecordBatch]:
         vocabulary = list(self.numbers)
-        encoded = [encoder.word(w) for w in vocabulary]
-        ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int64)
-        size = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
+        ids, size = coder.ids(vocabulary)
         start = np.cumsum(size) - size
-        fine = pairs.classes.fine[ids]
-        shares = np.concatenate(
-            ([0.0], np.cumsum(pairs.log_share(Pairs.of(ids, size, pairs.classes.fine.astype(np.int64), pairs.start))))
-        )
-        own = shares[start + size] - shares[start]  # of each word
-
         words = np.concatenate([*self.words, np.zeros(0, np.int64)])
         n_words = np.array([len(w) for w in self.words], dtype=np.int64)
         sizes = size[words]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         at = np.repeat(start[words] - ends[:-1], sizes) + np.arange(ends[-1])
-        last = np.cumsum(n_words)
-        lengths = ends[last] - ends[last - n_words]
-        score = attention.text_scores(weights, fine[at], lengths, pairs.classes.coarse_of)
-        sums = np.concatenate(([0.0], np.cumsum(own[words])))
-        score += sums[last] - sums[last - n_words]
-        docs = len(self.ids)
+        docs, last = len(self.ids), np.cumsum(n_words)
         yield self._batch(
             number, docs, doc=pa.array(np.arange(docs, dtype=np.int32)), doc_id=pa.array(self.ids, pa.int64()),
-            held_out=pa.array(self.held), n_tokens=pa.array(n_words + 1), score=pa.array(score),
+            held_out=pa.array(self.held), n_tokens=pa.array(n_words + 1),
+            ids=_sliced(ids.astype("<u2")[at], ends[last - n_words]),
         )
         if not len(words):
             return
@@ -306,48 +270,79 @@ class _Block:
             times = np.where(np.append(keys[1:] != keys[:-1], True), rest, 0xFFFF)
         postings = (times << 16 | keys & 0xFFFF).astype("<u4")
         word = keys >> 16
+        trained = ~np.array(self.held)[keys & 0xFFFF]
         yield self._batch(
             number, len(vocabulary), word=_binaries(vocabulary),
+            n=pa.array(np.bincount(word, times * trained, len(vocabulary)).astype(np.int64)),
             postings=_sliced(postings, np.flatnonzero(np.append(True, word[1:] != word[:-1]))),
         )
 
     @staticmethod
-    def _batch(number: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
+    def _batch(number: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
         kinds = {"doc": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(),
-                 "score": pa.float64(), "word": pa.binary(), "postings": pa.binary()}
-        arrays = [columns.get(c, pa.nulls(n, t)) for c, t in kinds.items()]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, number)), *arrays], names=["block", *kinds])
+                 "ids": pa.binary(), "word": pa.binary(), "n": pa.int64(), "postings": pa.binary()}
+        arrays = [columns.get(c, pa.nulls(size, t)) for c, t in kinds.items()]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *arrays], names=["block", *kinds])
 
 
-def scored_blocks(docs: DataFrame, weights: Weights, pairs: Pairs, path: str) -> DataFrame:
-    """Rows of ``BLOCKS``: one for each document with its score, and one for each block and word."""
-    classes = pairs.classes
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (weights.dump(), pairs.keys, pairs.n, classes.fine, classes.coarse_of, classes.share)
-    )
+def document_blocks(docs: DataFrame, path: str) -> DataFrame:
+    """Rows of ``BLOCKS``: one for each document with its ids, and one for each block and word."""
 
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, keys, n, *of_ids = shared.value
-        classes = Classes(*of_ids)
-        weights, pairs = Weights.load(data, classes.sizes), Pairs(keys, n, classes)
-        encoder, block = WordEncoder(path), _Block()
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, block = ByteWords(path), _Block()
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
             for doc_id, held, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block.add(doc_id, held, text)
                 if block.full:
-                    yield from block.rows(number, encoder, weights, pairs)
+                    yield from block.rows(number, coder)
                     block, number = _Block(), number + 1
         if block.ids:
-            yield from block.rows(number, encoder, weights, pairs)
+            yield from block.rows(number, coder)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(scored, BLOCKS)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(blocks, BLOCKS)
+
+
+def model_scores(rows: DataFrame, weights: Weights, pairs: Pairs) -> DataFrame:
+    """``rows`` (block, doc, doc_id, held_out, n_tokens, ids) with the log10 probability of each text, without ids."""
+    classes = pairs.classes
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (weights.dump(), pairs.log_shares(), pairs.places, classes.fine, classes.coarse_of, classes.share)
+    )
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data, shares, places, *of_ids = shared.value
+        classes = Classes(*of_ids)
+        weights, width = Weights.load(data, classes.sizes), shares.shape[1]
+        shares = shares.ravel()
+        # rarer ids: the factor of their class times their own share
+        own = np.where(places >= PAIRED, np.log10(classes.share), 0).astype(np.float32)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("ids"))
+            sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]) // 2
+            parts = np.flatnonzero(np.diff(np.cumsum(sizes) // SCORED_IDS, prepend=0)) if len(sizes) else []
+            for begin, end in zip([0, *parts], [*parts, len(batch)], strict=True):
+                if begin == end:
+                    continue
+                part = batch.slice(begin, end - begin)
+                ids, lengths = _ragged(column.slice(begin, end - begin), "<u2")
+                fine = classes.fine[ids]
+                score = attention.text_scores(weights, fine, lengths, classes.coarse_of)
+                within = shares.take(_before(fine, lengths) * width + places[ids]) + own[ids]
+                sums = np.concatenate(([0.0], np.cumsum(within, dtype=np.float64)))
+                last = np.cumsum(lengths)
+                score += sums[last] - sums[last - lengths]
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(score)], names=[*part.schema.names[:5], "score"])
+
+    return rows.select("block", "doc", "doc_id", "held_out", "n_tokens", "ids").mapInArrow(
+        scored, "block long, doc int, doc_id long, held_out boolean, n_tokens long, score double"
+    )
 
 
 def base_sums(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     """(block, doc, base, known): sum of log10(count + 1) over the words of each document, and how many are counted."""
     postings = blocks.filter(F.col("word").isNotNull()).select("block", "word", "postings")
-    joined = postings.join(counts, "word").select("block", "n", "postings")
+    joined = postings.join(counts.filter("n > 0"), "word").select("block", "n", "postings")
     parts = "block long, docs binary, base binary, known binary"
 
     def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +361,7 @@ def base_sums(blocks: DataFrame, counts: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            entries, lengths = _ragged(batch.column(2))
+            entries, lengths = _ragged(batch.column(2), "<u4")
             of_block = np.repeat(batch.column(0).to_numpy(), lengths)
             value = np.repeat(np.log10(batch.column(1).to_numpy() + 1.0), lengths)
             docs, times = entries & 0xFFFF, entries >> 16
@@ -405,30 +400,29 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     A null or empty text has one token, its end. A null id counts as the empty text and so belongs to the
     training rows. Without training rows every count is zero and the model is the untrained one.
     """
-    path = path or tokenizer_path()
+    path = path or tokenizer_path(VOCABULARY)
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (id_remainder(FOLDS) == HELD_OUT).alias("held_out"),
         text_of().alias("text"),
     )
-    training = plain.filter(~F.col("held_out")).select("doc_id", "text")
-    counts = stored(word_counts(training), "word-counts")
-    words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = stored(document_blocks(plain, path), "blocks")
+    rows = blocks.filter(F.col("ids").isNotNull())
+    training = rows.filter(~F.col("held_out")).select("doc_id", "ids")
+    counts = stored(
+        blocks.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
+    )
+    words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     texts = training.count()
-    vocabulary = stored(_encoded_words(counts, path), "encoded-words")
-
-    encoder = WordEncoder(path)
-    ends_word = np.zeros(encoder.full.get_vocab_size(), dtype=bool)
-    ends_word[[i for token, i in encoder.full.get_vocab().items() if token.endswith("</w>")]] = True
-    of_ids = id_counts(vocabulary, len(ends_word))
-    classes = attention.make_classes(of_ids, ends_word)
-    pairs = class_pairs(vocabulary, classes)
-    first = Weights.start(classes.sizes)
-    first.after[:] = pairs.first_logits(of_ids, texts)
-    weights = train_model(training, words, first, classes, path)
 
-    blocks = stored(scored_blocks(plain, weights, pairs, path), "scored-blocks")
-    rows = blocks.filter(F.col("word").isNull()).select("block", "doc", "doc_id", "held_out", "n_tokens", "score")
+    coder = ByteWords(path)
+    id_counts = _totals(training, coder.size, lambda ids, _: ids)
+    classes = attention.make_classes(id_counts, coder.begins_word)
+    pairs = count_pairs(training, id_counts, classes)
+    first = Weights.start(classes.sizes)
+    first.after[:] = pairs.first_logits(texts)
+    weights = train_model(training, words, first, classes)
+    rows = model_scores(rows, weights, pairs)
     sums = base_sums(blocks, counts).withColumnsRenamed({"block": "__block", "doc": "__doc"})
     # the end is a token of every text: counted once for each training text
     tokens, distinct = words + texts, kinds + (texts > 0)

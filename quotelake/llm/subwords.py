@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -45,7 +46,6 @@ class WordEncoder:
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.letters = _byte_letters()
-        self.ascii_only = re.compile("[a-z]+")
         self.words: dict[bytes, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
@@ -60,22 +60,20 @@ class WordEncoder:
         if not plain:
             return self._encoded(text)
         head, tail = plain.groups()
-        if not self.ascii_only.fullmatch(head):
-            head = head.encode("utf-8").decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(head)], dtype="<u4").tobytes()
         if tail:
             if tail not in self.marks:
                 self.marks[tail] = self._encoded(tail)
-            ids += self.marks[tail]
-        return ids
-
-    def word(self, word: bytes) -> bytes:
-        """Ids of one word, lower-cased in A-Z."""
-        found = self.words.get(word)
-        if found is None:
-            self.add([word])
-            found = self.words[word]
-        return found
+            own = head.encode("utf-8")
+            ids = self.words.get(own)
+            if ids is None:
+                ids = self.words[own] = self._letters(head)
+            return ids + self.marks[tail]
+        return self._letters(head)
+
+    def _letters(self, head: str) -> bytes:
+        if not head.isascii():
+            head = head.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(head)]).tobytes()
 
     def add(self, words: list[bytes]) -> None:
         """Make sure that the cache holds these words."""
@@ -97,3 +95,33 @@ class WordEncoder:
         except KeyError:
             self.add(words)
             return b"".join(map(self.words.__getitem__, words))
+
+
+class ByteWords:
+    """Ids of lower-cased words by a byte-level vocabulary, each word with a blank before it."""
+
+    def __init__(self, path: str):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.coder = tiktoken.Encoding(
+            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        self.size = max(ranks.values()) + 1
+        self.begins_word = np.zeros(self.size, dtype=bool)
+        self.begins_word[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in turn, and how many each word has."""
+        plain = [w.decode("utf-8") for w in words]
+        odd = [at for at, w in enumerate(plain) if not w.isascii() and len(w.split()) != 1]
+        if odd:  # white space beyond ASCII inside a word: words one by one
+            parts = [self.coder.encode_ordinary(" " + w) for w in plain]
+            return np.array([i for p in parts for i in p], dtype=np.int64), np.array([len(p) for p in parts], np.int64)
+        found = np.array(self.coder.encode_ordinary(" " + " ".join(plain)) if plain else [], dtype=np.int64)
+        first = np.flatnonzero(self.begins_word[found])
+        return found, np.diff(np.append(first, len(found)))
