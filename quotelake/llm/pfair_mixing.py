@@ -32,7 +32,7 @@ PERIOD = 1000
 TEMPER = 0.5
 
 #: Documents in a stored chunk of the mixed order.
-CHUNK = 20_000
+CHUNK = 4_000
 
 PHASES = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("phase", T.IntegerType()),
