@@ -36,7 +36,7 @@ FOLDS, HELD_OUT = 7, 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 #: Words and documents of a block.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_200_000
 BLOCK_DOCS = 16_384
 
 #: Blocks whose base scores a task sums up at a time.
@@ -55,7 +55,7 @@ PAIRED = 4096
 BACKOFF = 5.0
 
 #: Subword ids scored at a time, about.
-SCORED_IDS = 2_000_000
+SCORED_IDS = 1_000_000
 
 BLOCKS = "block long, doc int, doc_id long, held_out boolean, n_tokens long, ids binary, word binary, n long, postings binary"
 
