@@ -137,6 +137,13 @@ _bar_values = [*PRICES, "volume", *(f"{c}_eur" for c in PRICES)]
 _bar_columns = ", ".join(["symbol_id", "date", *PRICES, "volume"])
 
 
+def _last_versions(source: str) -> str:
+    """Last version of each day's bar, of active symbols."""
+    return f"""
+      SELECT * FROM {source} WHERE symbol_id IN (SELECT id FROM symbols WHERE is_active)
+      QUALIFY row_number() OVER (PARTITION BY symbol_id, date ORDER BY seq DESC) = 1"""
+
+
 def _report(source: str) -> str:
     """Batch gate over bars ``source``."""
     fields = [*PRICES, "volume"]
@@ -336,7 +343,7 @@ TABLES = {
         SELECT 'isin' AS field, isin AS value FROM symbol_file
         UNION ALL SELECT 'name', name FROM symbol_file
         UNION ALL SELECT 'ticker', ticker FROM symbol_file)
-      WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
+      GROUP BY ALL HAVING count(*) > 1""",
     "file_once": """
       SELECT isin, arg_max({'t': ticker, 'n': name, 'a': asset_type, 'e': exchange,
                             'c': currency}, seq) AS f
@@ -468,12 +475,14 @@ TABLES = {
     # two arrivals of the stream, each gated on its own
     "arrival_1": "SELECT * FROM landed WHERE seq = 1",
     "arrival_2": "SELECT * FROM landed WHERE seq = 2",
-    "gate_1": _report("arrival_1"),
-    "gate_2": _report("arrival_2"),
+    "once_1": _last_versions("arrival_1"),
+    "once_2": _last_versions("arrival_2"),
+    "gate_1": _report("once_1"),
+    "gate_2": _report("once_2"),
     "gated": f"""
-      SELECT * FROM arrival_1 WHERE symbol_id IN (SELECT symbol_id FROM gate_1 WHERE is_valid)
+      SELECT * FROM once_1 WHERE symbol_id IN (SELECT symbol_id FROM gate_1 WHERE is_valid)
       UNION ALL
-      SELECT * FROM arrival_2 WHERE symbol_id IN (SELECT symbol_id FROM gate_2 WHERE is_valid)""",
+      SELECT * FROM once_2 WHERE symbol_id IN (SELECT symbol_id FROM gate_2 WHERE is_valid)""",
     "gated_once": f"""
       SELECT b.symbol_id, b.date, b.open, b.high, b.low, b.close, b.volume,
              {_batch_eur(False)}
@@ -652,14 +661,12 @@ QUERIES = {
              (SELECT count(*) FROM level_rows l WHERE l.symbol_id = s.id) AS levels,
              {STAMP} AS last_updated
       FROM symbols s LEFT JOIN last_metrics m ON m.symbol_id = s.id
-      LEFT JOIN (SELECT symbol_id, count(*) AS n FROM etf_data
-                 WHERE date >= {_newest} - INTERVAL 36 MONTH GROUP BY 1) c
+      LEFT JOIN (SELECT symbol_id, count(*) AS n FROM etf_data GROUP BY 1) c
         ON c.symbol_id = s.id
       WHERE s.is_active""",
     "scan_symbol_docs": f"""
       SELECT s.ticker, e.* EXCLUDE (id, symbol_id, created_at)
-      FROM etf_data e JOIN symbols s ON s.id = e.symbol_id AND s.is_active
-      WHERE e.date >= {_newest} - INTERVAL 36 MONTH""",
+      FROM etf_data e JOIN symbols s ON s.id = e.symbol_id AND s.is_active""",
     "export_symbol_list": """
       SELECT ticker, name, isin, currency AS nativeCurrency FROM symbols
       WHERE is_active""",
@@ -768,8 +775,10 @@ QUERIES = {
       SELECT s.id, name, ticker, currency, count(e.id) AS record_count
       FROM symbols s LEFT JOIN etf_data e ON s.id = e.symbol_id GROUP BY ALL""",
     "orphan_bars": """
-      SELECT symbol_id, count(*) AS orphaned FROM etf_data
-      WHERE symbol_id NOT IN (SELECT id FROM symbols WHERE is_active) GROUP BY 1""",
+      SELECT e.symbol_id, count(*) AS orphaned
+      FROM (SELECT CASE WHEN symbol_id % 7 = 0 THEN symbol_id + 1000000 ELSE symbol_id END
+              AS symbol_id FROM etf_data) e
+      LEFT JOIN symbols s ON e.symbol_id = s.id WHERE s.id IS NULL GROUP BY 1""",
     "unconverted_sample": """
       SELECT e.id, symbol_id, date, close, close_eur, ticker, currency
       FROM etf_data e JOIN symbols s ON s.id = e.symbol_id
@@ -1004,11 +1013,29 @@ QUERIES = {
       FROM (SELECT holder, symbol_id, latest_close_eur / target_rate AS price,
                    {pivoted("cost", "source_rate", "target_rate")} AS invested FROM priced)""",
     "portfolio_risk": f"""
-      WITH h AS (SELECT h.holder, h.symbol_id, h.cost, v.volatility, d.max_drawdown,
-                        d.drawdown_year
-                 FROM holdings h JOIN symbols s ON s.id = h.symbol_id
-                 LEFT JOIN vols v USING (ticker) LEFT JOIN deepest d USING (ticker)
-                 WHERE h.cost > 0)
+      WITH prices AS (SELECT ticker, date, close_eur AS price, 'EUR' AS home FROM history
+                      UNION ALL SELECT ticker, date, close, 'USD' FROM history),
+           moves AS (SELECT ticker, home, price, lag(price) OVER w AS previous
+                     FROM prices WINDOW w AS (PARTITION BY ticker, home ORDER BY date)),
+           v AS (SELECT ticker, home, stddev_pop((price - previous) / previous)
+                        * sqrt(CAST(252 AS DOUBLE)) AS volatility
+                 FROM moves WHERE previous > 0 AND price <> 0 GROUP BY ALL),
+           peaks AS (SELECT ticker, home, date, price, max(price) OVER (
+                       PARTITION BY ticker, home ORDER BY date ROWS UNBOUNDED PRECEDING) AS peak
+                     FROM prices WHERE price IS NOT NULL),
+           d AS (SELECT ticker, home, (price - peak) / nullif(peak, 0) AS max_drawdown,
+                        year(date) AS drawdown_year
+                 FROM peaks WHERE (price - peak) / nullif(peak, 0) < 0
+                 QUALIFY row_number() OVER (PARTITION BY ticker, home
+                   ORDER BY (price - peak) / nullif(peak, 0), date) = 1),
+           h AS (SELECT p.holder, p.symbol_id,
+                        {pivoted("p.cost", "p.source_rate", "p.target_rate")} AS cost,
+                        v.volatility, d.max_drawdown,
+                        CAST(d.drawdown_year AS INTEGER) AS drawdown_year
+                 FROM (SELECT *, CASE WHEN country IN ('Germany', 'France') THEN 'EUR'
+                                      ELSE 'USD' END AS home FROM priced) p
+                 LEFT JOIN v USING (ticker, home) LEFT JOIN d USING (ticker, home)
+                 WHERE p.cost > 0)
       SELECT holder, {to(exact("cost"), 2)} AS total_invested,
              {to(f"{exact('cost * coalesce(volatility, 0)')} / {exact('cost')}", 6)}
                AS volatility,

@@ -206,25 +206,40 @@ def affordable_units(priced: DataFrame) -> DataFrame:
 
 
 def symbol_risk(prices: DataFrame) -> DataFrame:
-    """Volatility and worst drawdown per ticker."""
-    return worst_drawdown(running_drawdown(prices)).join(
-        volatility(daily_returns(prices)), "ticker", "left"
+    """Volatility and worst drawdown per ticker, of the EUR price (``in_eur``) and of
+    the native one. Both are series of their own within one scan of the prices."""
+    both = F.array(
+        F.struct(F.lit(True).alias("in_eur"), F.col("close_eur")),
+        F.struct(F.lit(False).alias("in_eur"), F.col("close").alias("close_eur")),
+    )
+    series = prices.select("ticker", "date", F.inline(both)).select(
+        F.struct("ticker", "in_eur").alias("ticker"), "date", "close_eur"
+    )
+    found = worst_drawdown(running_drawdown(series)).join(
+        volatility(daily_returns(series)), "ticker", "left"
+    )
+    return found.select(
+        "ticker.ticker", "ticker.in_eur", *(c for c in found.columns if c != "ticker")
     )
 
 
-def portfolio_risk(holdings: DataFrame, symbols: DataFrame, risk: DataFrame) -> DataFrame:
-    """Per holder: weighted volatility, the single worst drawdown and its year,
-    and the value left after a 30 percent fall.
+def portfolio_risk(priced: DataFrame, risk: DataFrame) -> DataFrame:
+    """Per holder: invested amount in the holder's currency, weighted volatility,
+    the single worst drawdown and its year, and the value left after a 30 percent
+    fall. Holders at home in EUR are measured by EUR prices, others by native ones.
 
     The weighted mean is written as sum(amount * vol) / sum(amount), so one
     aggregate does, with no second join of the totals on the holder.
     """
-    keyed = symbols.select(F.col("id").alias("symbol_id"), "ticker")
-    per_symbol = keyed.join(risk, "ticker", "left")
+    home = country_currency(F.col("country"))
+    held = (
+        priced.filter(F.col("cost") > 0)
+        .withColumns({"cost": _in_home_currency(F.col("cost")), "in_eur": home == BASE_CURRENCY})
+        .join(risk, ["ticker", "in_eur"], "left")
+    )
     cost, vol = F.col("cost"), F.coalesce("volatility", F.lit(0.0))
     fall = F.col("max_drawdown")
     deepest = F.when(fall < 0, F.struct(fall, F.col("symbol_id"), F.col("drawdown_year")))
-    held = holdings.filter(cost > 0).join(broadcast_if_small(per_symbol), "symbol_id")
     summed = held.groupBy("holder").agg(
         exact_sum(cost).alias("total_invested"),
         exact_sum(cost * vol).alias("_weighted"),

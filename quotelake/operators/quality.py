@@ -221,14 +221,17 @@ def validated_symbols(symbols: DataFrame) -> DataFrame:
 
 def duplicate_values(symbols: DataFrame) -> DataFrame:
     """(field, value, occurrences) of repeated isin, name and ticker values,
-    all three counted in one shuffle."""
+    all three counted in one shuffle; a repeated missing value is one too."""
     pairs = F.array(
         *(
             F.struct(F.lit(c).alias("field"), F.col(c).alias("value"))
             for c in ("isin", "name", "ticker")
         )
     )
-    return repeated_keys(symbols.select(F.inline(pairs)), ["field", "value"])
+    counts = symbols.select(F.inline(pairs)).groupBy("field", "value").agg(
+        F.count(F.lit(1)).alias("occurrences")
+    )
+    return counts.filter(F.col("occurrences") > 1)
 
 
 def file_problems(symbols: DataFrame) -> DataFrame:

@@ -11,8 +11,12 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 RATE_BYTES = 48 * 1024 * 1024
 
 
+#: Planned sizes of scans are compressed bytes on disk; rows in memory may take this much more.
+EXPANSION = 10
+
+
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's upper estimate of the frame's size; runs no job."""
+    """Size by the plan's statistics, for a scan its bytes on disk; runs no job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(str(stats.sizeInBytes()))
 
@@ -21,4 +25,4 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     """Hint a broadcast for a side within the bound. A larger side is returned
     as it is and joined by shuffle, where adaptive execution splits hot keys."""
     max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
-    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
+    return F.broadcast(df) if planned_bytes(df) * EXPANSION <= max_bytes else df

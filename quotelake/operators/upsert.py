@@ -57,8 +57,10 @@ def upsert(
 def update_by_key(
     current: DataFrame, changes: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Replace ``values`` where ``changes`` has the key, nulls included."""
-    incoming = changes.select(
+    """Replace ``values`` where ``changes`` has the key, nulls included. Of several
+    changes of one key the greatest applies; an update never adds rows."""
+    single = changes.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_values"))
+    incoming = single.select(*keys, "_values.*").select(
         *keys,
         *(F.col(c).alias(f"_new_{c}") for c in values),
         F.lit(True).alias("_hit"),

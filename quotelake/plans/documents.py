@@ -48,17 +48,15 @@ def symbol_documents(
     symbols: DataFrame,
     metrics: DataFrame,
     thresholds: DataFrame,
-    end: Column,
     updated_at: Column,
-    months: int = 36,
     start: Column | None = None,
+    end: Column | None = None,
 ) -> DataFrame:
-    """One document per active symbol. The price array spans ``months`` months
-    (or begins at ``start``) of daily bars keyed by date, so its length is
-    bounded by the calendar (36 months: at most 1,097 entries) however large the
-    table is."""
-    first = F.add_months(end, -months) if start is None else start
-    recent = in_dates(bars, "date", first, end)
+    """One document per active symbol with all its bars, or those between
+    ``start`` and ``end`` where they are given. A symbol has one bar a day, so the
+    calendar bounds the array (50 years: at most 18,300 entries) however many
+    symbols there are."""
+    recent = in_dates(bars, "date", start, end)
     entry = F.struct("date", *PRICE_COLUMNS, "volume", *EUR_COLUMNS)
     prices = recent.groupBy("symbol_id").agg(
         F.sort_array(F.collect_list(entry)).alias("priceData")

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from quotelake.operators.ids import next_id
 from quotelake.operators.loading import load_bars, load_metrics, load_thresholds
 from quotelake.operators.metrics import metrics_52week
+from quotelake.operators.latest import latest_per_key
 from quotelake.operators.quality import accepted, batch_report
 from quotelake.sources.lake import DATED, Lake
 from quotelake.sources.storage import MONTH, month_of, settle, write_dated
 
 
+UNKNOWN_MESSAGE = "Symbol is unknown or inactive"
+
+
 def merge_months(
     lake: Lake,
     table: str,
@@ -42,18 +46,30 @@ def months_of(df: DataFrame, date_column: str) -> list[int]:
 
 def load_batch(
     lake: Lake, landed: DataFrame, loaded_at: Column, as_of: str, staging: str
-) -> None:
-    """Gate landed bars per symbol, upsert those that pass, refresh metrics.
+) -> DataFrame:
+    """Gate landed bars per symbol, upsert those that pass, refresh metrics; the
+    stored report says for every landed symbol whether it was loaded and why not.
 
-    A symbol that fails the gate is left out and stops no other symbol. All
-    symbols go through one plan; nothing loops over them.
+    Only the last version of a day counts, in the gate as in the load. Symbols that
+    are unknown or inactive are reported and left out. A symbol that fails stops
+    no other symbol. All symbols go through one plan; nothing loops over them.
     """
-    gated = accepted(landed, batch_report(landed.drop("seq")))
-    passed = settle(gated, f"{staging}/accepted")
+    symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
+    values = [c for c in landed.columns if c not in ("symbol_id", "date")]
+    single = latest_per_key(landed, ["symbol_id", "date"], "seq", values, order_is_unique=False)
+    active = symbols.filter("is_active").select(F.col("id").alias("symbol_id"), F.lit(True).alias("_known"))
+    checked = batch_report(single.drop("seq")).join(active, "symbol_id", "left")
+    unknown = F.when(F.col("_known").isNull(), F.array(F.lit(UNKNOWN_MESSAGE))).otherwise(F.array())
+    report = settle(
+        checked.withColumn("issues", F.concat("issues", unknown))
+        .withColumn("is_valid", F.size("issues") == 0)
+        .drop("_known"),
+        f"{staging}/report",
+    )
+    passed = settle(accepted(single, report), f"{staging}/accepted")
     months = months_of(passed, "date")
     if not months:
-        return
-    symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
+        return report
 
     def bars(current: DataFrame, first_id: Column) -> DataFrame:
         return load_bars(
@@ -62,6 +78,7 @@ def load_batch(
 
     merge_months(lake, "etf_data", months, bars, f"{staging}/etf_data")
     refresh_metrics(lake, passed.select("symbol_id"), loaded_at, as_of, staging)
+    return report
 
 
 def refresh_metrics(

@@ -180,3 +180,11 @@ def test_reconcile(spark, rows):
     ]
     assert rows(reconcile.isins_only_in(landed_symbols, stored)) == [("IE0000000001",)]
     assert rows(reconcile.isins_in_both(landed_symbols, stored)) == [("US0000000002",)]
+
+
+def test_repeated_change_adds_no_rows(spark):
+    from quotelake.operators.upsert import update_by_key
+
+    current = spark.createDataFrame([(1, 5.0), (2, 6.0)], "k long, v double")
+    changes = spark.createDataFrame([(1, 7.0), (1, 8.0)], "k long, v double")
+    assert sorted(map(tuple, update_by_key(current, changes, ["k"], ["v"]).collect())) == [(1, 8.0), (2, 6.0)]

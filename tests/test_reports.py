@@ -68,19 +68,39 @@ def test_growth_starts_at_the_amount(spark):
 
 
 def test_portfolio_risk_has_one_worst_symbol(spark):
-    holdings = spark.createDataFrame(
-        [(1, 1, "USA", 1, 300.0), (1, 2, "USA", 1, 100.0), (2, 2, "USA", 1, 50.0)],
-        "holder long, symbol_id long, country string, units long, cost double",
+    priced = spark.createDataFrame(
+        [
+            (1, 1, "A", "USA", 300.0, 0.5, 0.5),
+            (1, 2, "B", "USA", 100.0, 0.5, 0.5),
+            (2, 2, "B", "Germany", 50.0, 0.5, 1.0),
+        ],
+        "holder long, symbol_id long, ticker string, country string, cost double, "
+        "source_rate double, target_rate double",
     )
-    symbols = spark.createDataFrame([(1, "A"), (2, "B")], "id long, ticker string")
     risk = spark.createDataFrame(
-        [("A", -0.2, 2020, 0.1), ("B", -0.5, 2022, 0.5)],
-        "ticker string, max_drawdown double, drawdown_year int, volatility double",
+        [
+            ("A", False, -0.2, 2020, 0.1),
+            ("B", False, -0.5, 2022, 0.5),
+            ("B", True, -0.4, 2021, 0.3),
+        ],
+        "ticker string, in_eur boolean, max_drawdown double, drawdown_year int, volatility double",
     )
-    found = {r.holder: r for r in portfolio.portfolio_risk(holdings, symbols, risk).collect()}
+    found = {r.holder: r for r in portfolio.portfolio_risk(priced, risk).collect()}
     assert found[1].volatility == pytest.approx(0.2)
     assert (found[1].worst_drawdown, found[1].worst_year) == (-0.5, 2022)
+    assert found[1].total_invested == pytest.approx(400.0)
     assert found[1].stress_value == pytest.approx(280.0)
+    assert found[2].total_invested == pytest.approx(25.0)
+    assert (found[2].volatility, found[2].worst_year) == (pytest.approx(0.3), 2021)
+
+
+def test_risk_uses_both_prices(spark):
+    prices = spark.createDataFrame(
+        [("A", "2024-01-01", 100.0, 10.0), ("A", "2024-01-02", 50.0, 9.0)],
+        "ticker string, date string, close double, close_eur double",
+    ).selectExpr("ticker", "cast(date AS date) AS date", "close", "close_eur")
+    found = {r.in_eur: r.max_drawdown for r in portfolio.symbol_risk(prices).collect()}
+    assert found == {True: pytest.approx(-0.1), False: pytest.approx(-0.5)}
 
 
 def test_tax(spark):

@@ -170,9 +170,9 @@ def test_documents_round_trip(spark, lake, tmp_path):
         lake.raw("symbols"),
         lake.raw("fifty_two_week_metrics"),
         lake.raw("decrease_thresholds"),
-        F.lit(date(2024, 1, 31)),
         now(),
-        months=3,
+        start=F.lit(date(2023, 10, 31)),
+        end=F.lit(date(2024, 1, 31)),
     )
     path = str(tmp_path / "documents")
     files.write_documents(built, path)
