@@ -177,15 +177,22 @@ def count_pairs(sequences: DataFrame, id_counts: np.ndarray, classes: Classes) -
     return Pairs(_totals(sequences, m * width, keys), places, classes)
 
 
-def train_model(training: DataFrame, tokens: int, first: Weights, classes: Classes) -> Weights:
+def train_model(
+    training: DataFrame, texts: int, tokens: int, first: Weights, classes: Classes
+) -> Weights:
     """Warm start on a bounded sample, then averaged trainers whose number grows with the tokens."""
     sizes, fine, coarse_of = classes.sizes, classes.fine, classes.coarse_of
 
     def learned(w: Weights, sequences: list[bytes], rounds: int, rate: float, seed: int) -> Weights:
-        texts = [fine[np.frombuffer(ids, "<u2")] for ids in sorted(map(bytes, sequences))]
-        return attention.train(w, texts, coarse_of, rounds, rate, seed)[0]
+        own = [fine[np.frombuffer(ids, "<u2")] for ids in sorted(map(bytes, sequences))]
+        return attention.train(w, own, coarse_of, rounds, rate, seed)[0]
 
-    sample = training.orderBy(F.xxhash64("ids"), "ids").limit(WARM).select("ids").collect()
+    # a hash range that holds about twice as many texts as are wanted, so that no task hands on many
+    range_size = 1 << 31
+    near = training.withColumn("at", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(range_size))).filter(
+        F.col("at") < min(range_size, -(-2 * WARM * range_size // max(1, texts)))
+    )
+    sample = near.orderBy("at", "ids").limit(WARM).select("ids").collect()
     warm = learned(first, [r.ids for r in sample], WARM_ROUNDS, RATE, 0)
     data = warm.dump()
     trainers = max(1, -(-tokens // TRAINER_WORDS))
@@ -421,7 +428,7 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     pairs = count_pairs(training, id_counts, classes)
     first = Weights.start(classes.sizes)
     first.after[:] = pairs.first_logits(texts)
-    weights = train_model(training, words, first, classes)
+    weights = train_model(training, texts, words, first, classes)
     rows = model_scores(rows, weights, pairs)
     sums = base_sums(blocks, counts).withColumnsRenamed({"block": "__block", "doc": "__doc"})
     # the end is a token of every text: counted once for each training text
