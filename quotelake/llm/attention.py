@@ -19,7 +19,7 @@ import numpy as np
 
 CHUNK = 8
 CONTEXT = 2 * CHUNK
-COARSE = (80, 23)
+COARSE = (64, 15)
 FINE = (448, 63)
 WIDTH = 16
 

@@ -44,7 +44,7 @@ HELD_BLOCKS = 300
 
 WARM = 800
 WARM_ROUNDS = 3
-TRAINED = 80
+TRAINED = 120
 TRAINER_WORDS = 25_000_000
 RATE = 0.02
 
