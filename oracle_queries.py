@@ -455,6 +455,11 @@ TABLES = {
                    max(date) AS last_date,
                    (max(date) - min(date)) / CAST(365.25 AS DOUBLE) AS years
             FROM history GROUP BY ticker)""",
+    "ticker_amounts": f"""
+      SELECT ticker, {pivoted("CAST(10000 AS DOUBLE)", "rate_to_eur", rate_of("EUR"))} AS amount_eur,
+             {pivoted("CAST(10000 AS DOUBLE)", "rate_to_eur", rate_of("USD"))} AS amount_usd
+      FROM (SELECT ticker, any_value(native_currency) AS currency FROM history GROUP BY 1)
+      LEFT JOIN pivot_rates USING (currency)""",
     "priced": f"""
       SELECT h.*, s.ticker, s.currency AS native_currency, w.latest_close,
              w.latest_close_eur, p.rate_to_eur AS source_rate,
@@ -560,6 +565,28 @@ def _history_cut(condition: str) -> str:
 _top = "(SELECT max(date) FROM history)"
 
 
+def _growth(target: str, end: str = _top) -> str:
+    """The amount in the target currency, times each price over the first one of three years."""
+    return f"""
+      SELECT ticker, date, greatest(0, amount_{target.lower()} * (coalesce(price, 0) / coalesce(
+               first_value(price) OVER (PARTITION BY ticker ORDER BY date), 1))) AS value
+      FROM (SELECT ticker, date, coalesce(nullif(close_eur, 0), nullif(close, 0)) AS price
+            FROM history WHERE date BETWEEN {end} - INTERVAL 36 MONTH AND {end})
+      JOIN ticker_amounts USING (ticker)"""
+
+
+def _projected(starts: str, first: str, months: int) -> str:
+    return f"""
+      SELECT ticker, scenario, CAST(m AS BIGINT) AS month,
+             CAST(date_trunc('month', {first}) + to_months(CAST(m AS INTEGER)) AS DATE)
+               + CAST(day({first}) - 1 AS INTEGER) AS date,
+             {to("start_value * pow(1 + rate / 12, m)", 2)} AS value
+      FROM (SELECT ticker, unnest(['conservative', 'moderate', 'aggressive', 'historical'])
+                     AS scenario,
+                   unnest([CAST(0.07 AS DOUBLE), 0.10, 0.12, cagr]) AS rate
+            FROM growth_rates) JOIN ({starts}) USING (ticker), range({months + 1}) AS r(m)"""
+
+
 def _reached(eur: bool) -> str:
     price = "close_eur" if eur else "close"
     level = latest_ratio("l.threshold_price") if eur else "l.threshold_price"
@@ -959,7 +986,7 @@ QUERIES = {
     + ", ".join(
         f"max(close_eur) FILTER (WHERE ticker = '{t}') AS \"{t}\"" for t in SHOWN
     )
-    + " FROM history GROUP BY date",
+    + " FROM history WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' GROUP BY date",
     "series_stats": """
       SELECT ticker, arg_max(close_eur, date) AS last_value, min(close_eur) AS min_value,
              max(close_eur) AS max_value FROM history GROUP BY ticker""",
@@ -981,18 +1008,17 @@ QUERIES = {
     "cagr": f"""
       SELECT ticker, first_price, last_price, first_date, last_date,
              {to("years", 6)} AS years, {to("cagr", 6)} AS cagr FROM growth_rates""",
-    "growth_of_amount": f"""
-      SELECT ticker, date, {to("greatest(0, CAST(10000 AS DOUBLE) * (coalesce(price, 0) / coalesce(first_value(price) OVER (PARTITION BY ticker ORDER BY date), 1)))", 2)} AS value
-      FROM (SELECT ticker, date, coalesce(nullif(close_eur, 0), nullif(close, 0)) AS price
-            FROM history WHERE date BETWEEN {_top} - INTERVAL 36 MONTH AND {_top})""",
-    "projection": f"""
-      SELECT ticker, scenario, CAST(m AS BIGINT) AS month,
-             CAST(DATE '2001-10-01' + to_months(CAST(m AS INTEGER)) AS DATE) + 30 AS date,
-             {to("CAST(10000 AS DOUBLE) * pow(1 + rate / 12, m)", 2)} AS value
-      FROM (SELECT ticker, unnest(['conservative', 'moderate', 'aggressive', 'historical'])
-                     AS scenario,
-                   unnest([CAST(0.07 AS DOUBLE), 0.10, 0.12, cagr]) AS rate
-            FROM growth_rates), range(61) AS r(m)""",
+    "growth_of_amount": f"SELECT ticker, date, {to('value', 2)} AS value FROM ({_growth('EUR')})",
+    "growth_of_amount_usd": f"SELECT ticker, date, {to('value', 2)} AS value FROM ({_growth('USD')})",
+    "projection": _projected(
+        f"""SELECT ticker, coalesce(last_value, amount_eur) AS start_value FROM ticker_amounts
+            LEFT JOIN (SELECT ticker, arg_max(value, date) AS last_value
+                       FROM ({_growth("EUR", "DATE '2001-10-31'")}) GROUP BY ticker) USING (ticker)""",
+        "DATE '2001-10-31'", 60,
+    ),
+    "projection_usd": _projected(
+        "SELECT ticker, amount_usd AS start_value FROM ticker_amounts", f"({_top} + 1)", 36
+    ),
     "holdings_value": f"""
       SELECT holder, symbol_id, ticker, country, units,
              {to("units * latest_close", 2)} AS value_native,

@@ -45,6 +45,7 @@ SHOWN_TICKERS = [
 ]
 AMOUNT = 10000.0
 PROJECTION_START = "2001-10-31"
+PIVOT_RANGE = ("1996-01-01", "2000-12-31")
 
 
 def query(function: Query) -> Query:
@@ -162,7 +163,7 @@ def scan_fx(spark, folder):
 @query
 def publish_marts(spark, folder):
     source = lake_for(spark, folder)
-    target = copy_lake(spark, source, new_folder(spark, "publish"))
+    target = Lake(spark, source.root, new_folder(spark, "publish"))
     target.publish()
     names = [
         "mart_price_history",
@@ -338,12 +339,12 @@ def mart_price_history(spark, folder):
 
 @query
 def mart_52week(spark, folder):
-    return lake_for(spark, folder).week52()
+    return reports.shown(lake_for(spark, folder).week52(), "mart_52week_metrics")
 
 
 @query
 def mart_thresholds(spark, folder):
-    return lake_for(spark, folder).thresholds()
+    return reports.shown(lake_for(spark, folder).thresholds(), "mart_entry_thresholds")
 
 
 @query
@@ -395,7 +396,7 @@ def export_thresholds(spark, folder):
 
 @query
 def active_symbols(spark, folder):
-    return staging.active_symbols(_symbols(spark, folder))
+    return reports.shown(staging.active_symbols(_symbols(spark, folder)), "active_symbols")
 
 
 @query
@@ -405,7 +406,7 @@ def symbol_by_isin(spark, folder):
 
 @query
 def symbol_status(spark, folder):
-    return reports.symbol_status(_symbols(spark, folder))
+    return reports.shown(reports.symbol_status(_symbols(spark, folder)), "symbol_status")
 
 
 @query
@@ -416,33 +417,34 @@ def symbol_search(spark, folder):
 @query
 def ordered_tickers(spark, folder):
     shown = reports.in_display_order(_symbols(spark, folder), SHOWN_TICKERS)
-    return shown.withColumn("rank", F.col("rank").cast("long"))
+    return reports.shown(shown.withColumn("rank", F.col("rank").cast("long")), "ordered_tickers")
 
 
 @query
 def metric_history(spark, folder):
-    return reports.metric_history(
+    found = reports.metric_history(
         _metrics(spark, folder),
         _symbols(spark, folder),
         ["high_52week", "low_52week", "high_date", "low_date"],
     )
+    return reports.shown(found, "metric_history")
 
 
 @query
 def threshold_history(spark, folder):
-    return reports.metric_history(
+    found = reports.metric_history(
         _thresholds(spark, folder),
         _symbols(spark, folder),
         ["high_52week_price", "decrease_10_price", "decrease_20_price", "decrease_30_price"],
     )
+    return reports.shown(found, "threshold_history")
 
 
 @query
 def bars_in_range(spark, folder):
     columns = [*BAR_FILE.fieldNames(), *EUR_COLUMNS]
-    return reports.bars_in_range(
-        _bars(spark, folder), "1996-01-01", "1998-12-31"
-    ).select(*columns)
+    found = reports.bars_in_range(_bars(spark, folder), "1996-01-01", "1998-12-31")
+    return reports.shown(found.select(*columns), "bars_in_range")
 
 
 @query
@@ -516,7 +518,8 @@ def format_money(spark, folder):
 
 @query
 def rows_per_symbol(spark, folder):
-    return reports.rows_per_symbol(_bars(spark, folder), _symbols(spark, folder))
+    found = reports.rows_per_symbol(_bars(spark, folder), _symbols(spark, folder))
+    return reports.shown(found, "rows_per_symbol")
 
 
 @query
@@ -534,7 +537,8 @@ def unconverted_sample(spark, folder):
 
 @query
 def eur_coverage(spark, folder):
-    return reports.eur_coverage(_bars(spark, folder), _symbols(spark, folder))
+    found = reports.eur_coverage(_bars(spark, folder), _symbols(spark, folder))
+    return reports.shown(found, "eur_coverage")
 
 
 @query
@@ -800,7 +804,8 @@ def gap_severity(spark, folder):
 
 @query
 def price_pivot(spark, folder):
-    return reports.price_pivot(_history(spark, folder), SHOWN_TICKERS)
+    pivoted = reports.price_pivot(_history(spark, folder), SHOWN_TICKERS, *PIVOT_RANGE)
+    return reports.shown(pivoted, "price_pivot")
 
 
 @query
@@ -864,23 +869,51 @@ def cagr(spark, folder):
     )
 
 
+def _growth(spark, folder, end, target):
+    return portfolio.growth_of_amount(
+        _history(spark, folder), AMOUNT, 3, end, _pivot(spark, folder), target
+    )
+
+
 @query
 def growth_of_amount(spark, folder):
-    history = _history(spark, folder)
-    grown = portfolio.growth_of_amount(history, AMOUNT, 3, newest_date(history))
+    grown = _growth(spark, folder, newest_date(_history(spark, folder)), "EUR")
     return grown.withColumn("value", round2(F.col("value")))
 
 
 @query
-def projection(spark, folder):
-    start = F.lit(PROJECTION_START).cast("date")
-    found = portfolio.cagr(_history(spark, folder))
-    schedule = portfolio.projection(found, AMOUNT, 5, start)
+def growth_of_amount_usd(spark, folder):
+    grown = _growth(spark, folder, newest_date(_history(spark, folder)), "USD")
+    return grown.withColumn("value", round2(F.col("value")))
+
+
+def _projection(spark, folder, start, years, target):
+    """The newest bar's day counts as today."""
+    history = _history(spark, folder)
+    tickers = history.groupBy("ticker").agg(F.max("native_currency").alias("native_currency"))
+    planned = portfolio.planned_amounts(tickers, AMOUNT, _pivot(spark, folder), target)
+    starting = portfolio.starting_values(
+        planned, _growth(spark, folder, start, target), start, newest_date(history)
+    )
+    schedule = portfolio.projection(portfolio.cagr(history), starting, years, start)
     return schedule.withColumns(
         {"month": F.col("month").cast("long"), "value": round2(F.col("value"))}
     )
 
 
+@query
+def projection(spark, folder):
+    """From a past day: starts at the last historical value."""
+    return _projection(spark, folder, F.lit(PROJECTION_START).cast("date"), 5, "EUR")
+
+
+@query
+def projection_usd(spark, folder):
+    """From the day after the newest bar: starts at the converted amount."""
+    tomorrow = F.date_add(newest_date(_history(spark, folder)), 1)
+    return _projection(spark, folder, tomorrow, 3, "USD")
+
+
 def _priced(spark, folder):
     lake = _published(spark, folder)
     newest = lake.mart("mart_52week_metrics")

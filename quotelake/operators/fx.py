@@ -102,8 +102,10 @@ def implied_rates(prices: DataFrame) -> DataFrame:
 
 
 def rates_to_eur(fx: DataFrame, prices: DataFrame) -> DataFrame:
-    """Pivot rates from the FX mart, or implied ones where it has no rows."""
-    return implied_rates(prices) if fx.isEmpty() else pivot_rates(fx)
+    """Pivot rates from the FX mart, or implied ones where it has no rows. The
+    choice is part of the plan; no job runs while it is made."""
+    stored = fx.agg(F.count(F.lit(1)) > 0).scalar()
+    return pivot_rates(fx).filter(stored).unionByName(implied_rates(prices).filter(~stored))
 
 
 def rate_of(rates: DataFrame, currency: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.sources.storage import in_dates
+from quotelake.sources.storage import MONTH, in_dates
 
 WINDOW_DAYS = 365
 
@@ -14,7 +14,10 @@ LEVEL_FACTORS = {5: 0.95, 10: 0.90, 15: 0.85, 20: 0.80, 25: 0.75, 30: 0.70}
 
 
 def newest_date(bars: DataFrame) -> Column:
-    """Newest date of the table as a scalar subquery."""
+    """Newest date of the table as a scalar subquery. A table stored by month has
+    its dates read in the newest month alone."""
+    if MONTH in bars.columns:
+        bars = bars.filter(F.col(MONTH) == bars.agg(F.max(MONTH)).scalar())
     return bars.agg(F.max("date")).scalar()
 
 

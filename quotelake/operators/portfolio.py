@@ -91,26 +91,60 @@ def cagr(prices: DataFrame) -> DataFrame:
 
 
 def growth_of_amount(
-    prices: DataFrame, amount: float, years: int, end: Column
+    prices: DataFrame,
+    amount: float,
+    years: int,
+    end: Column,
+    rates: DataFrame,
+    target: str = BASE_CURRENCY,
 ) -> DataFrame:
-    """Value of an amount invested at the first close in [end - years, end]."""
+    """Value in ``target`` of an amount in the symbol's own currency, invested at the
+    first close in [end - years, end]. One rate holds for the whole range, so it
+    cancels out of the price ratio and only the amount is converted."""
     start = month_step(end, F.lit(-12 * years))
     zero = F.lit(0.0)
     some = F.coalesce(F.nullif(F.col("close_eur"), zero), F.nullif(F.col("close"), zero))
     ranged = in_dates(prices, "date", start, end).select(
-        "ticker", "date", some.alias("_price")
+        "ticker", "native_currency", "date", some.alias("_price")
     )
     base = ranged.groupBy("ticker").agg(
-        F.coalesce(F.min_by("_price", "date"), F.lit(1.0)).alias("_base")
+        F.coalesce(F.min_by("_price", "date"), F.lit(1.0)).alias("_base"),
+        F.max("native_currency").alias("native_currency"),
     )
-    value = F.lit(amount) * (F.coalesce(F.col("_price"), zero) / F.col("_base"))
-    joined = ranged.join(broadcast_if_small(base), "ticker")
+    invested = planned_amounts(base, amount, rates, target)
+    value = F.col("amount") * (F.coalesce(F.col("_price"), zero) / F.col("_base"))
+    joined = ranged.drop("native_currency").join(broadcast_if_small(invested), "ticker")
     return joined.select("ticker", "date", F.greatest(zero, value).alias("value"))
 
 
-def projection(growth: DataFrame, amount: float, years: int, start: Column) -> DataFrame:
-    """Monthly compound schedule per ticker and scenario; the historical one
-    uses the ticker's own rate."""
+def planned_amounts(
+    tickers: DataFrame, amount: float, rates: DataFrame, target: str = BASE_CURRENCY
+) -> DataFrame:
+    """``tickers`` (ticker, native_currency, ...) with ``amount`` converted from the
+    symbol's currency into ``target``."""
+    converted = convert(F.lit(amount), F.col("source_rate"), rate_of(rates, target))
+    return with_source_rate(tickers, rates).withColumn("amount", converted)
+
+
+def starting_values(
+    planned: DataFrame, grown: DataFrame, start: Column, today: Column
+) -> DataFrame:
+    """(ticker, start_value) of a projection: the last value of the growth up to
+    ``start``; the planned amount for a start after ``today`` and for tickers
+    without growth."""
+    last = grown.groupBy("ticker").agg(F.max_by("value", "date").alias("_last"))
+    value = F.when(start > today, F.col("amount")).otherwise(
+        F.coalesce("_last", "amount")
+    )
+    joined = planned.join(last, "ticker", "left")
+    return joined.select("ticker", value.alias("start_value"))
+
+
+def projection(
+    growth: DataFrame, starting: DataFrame, years: int, start: Column
+) -> DataFrame:
+    """Monthly compound schedule per ticker and scenario from the ticker's
+    ``start_value``; the historical scenario uses the ticker's own rate."""
     scenarios = F.array(
         *(
             F.struct(F.lit(n).alias("scenario"), F.lit(r).alias("rate"))
@@ -121,14 +155,15 @@ def projection(growth: DataFrame, amount: float, years: int, start: Column) -> D
     months = F.sequence(F.lit(0), F.lit(12 * years))
     monthly = 1 + F.col("rate") / 12
     return (
-        growth.select("ticker", F.inline(scenarios))
-        .select("ticker", "scenario", "rate", F.explode(months).alias("month"))
+        growth.join(starting, "ticker")
+        .select("ticker", "start_value", F.inline(scenarios))
+        .select("ticker", "start_value", "scenario", "rate", F.explode(months).alias("month"))
         .select(
             "ticker",
             "scenario",
             "month",
             month_step(start, F.col("month")).alias("date"),
-            (F.lit(amount) * F.pow(monthly, F.col("month"))).alias("value"),
+            (F.col("start_value") * F.pow(monthly, F.col("month"))).alias("value"),
         )
     )
 

@@ -32,6 +32,34 @@ SLICE_ROWS = 50
 PROFIT_TARGETS = (10, 20, 50, 100)
 
 
+# Row order in which listings and marts are shown; "-" descends.
+SHOWN_ORDER = {
+    "mart_price_history": ("ticker", "date"),
+    "mart_52week_metrics": ("ticker",),
+    "mart_entry_thresholds": ("ticker", "pct_below"),
+    "active_symbols": ("name",),
+    "symbol_status": ("id",),
+    "rows_per_symbol": ("id",),
+    "eur_coverage": ("id",),
+    "bars_in_range": ("date",),
+    "ordered_tickers": ("rank",),
+    "metric_history": ("name", "-calculation_date"),
+    "threshold_history": ("name", "-calculation_date"),
+    "price_pivot": ("time",),
+}
+
+
+def shown(df: DataFrame, listing: str) -> DataFrame:
+    """``df`` in the listing's row order. A presentation step: plans, loads and
+    stored tables do without it, since a global order costs a range shuffle."""
+    return df.orderBy(
+        *(
+            F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc()
+            for c in SHOWN_ORDER[listing]
+        )
+    )
+
+
 # Listings and lookups ---------------------------------------------------------
 
 
@@ -346,14 +374,17 @@ def gap_severity(thresholds: DataFrame) -> DataFrame:
     return thresholds.select("ticker", "pct_below", gap, label.alias("gap_sign"))
 
 
-def price_pivot(prices: DataFrame, tickers: Sequence[str]) -> DataFrame:
-    """One column of EUR closes per listed ticker, one row per date."""
+def price_pivot(
+    prices: DataFrame, tickers: Sequence[str], start=None, end=None
+) -> DataFrame:
+    """One column of EUR closes per listed ticker, one row per date of the
+    inclusive range."""
     stamped = F.col("date").cast("timestamp_ntz").alias("time")
     columns = [
         F.max(F.when(F.col("ticker") == t, F.col("close_eur"))).alias(t)
         for t in tickers
     ]
-    return prices.groupBy(stamped).agg(*columns)
+    return in_dates(prices, "date", start, end).groupBy(stamped).agg(*columns)
 
 
 def series_stats(prices: DataFrame) -> DataFrame:

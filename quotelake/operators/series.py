@@ -70,20 +70,15 @@ def look_back(
     rows: int,
     values: Sequence[str],
     order: str = "date",
-    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with CHUNK, plus copies of the ``rows`` rows before each chunk.
 
     Copies carry keys, order and ``values`` (other columns null) and are marked
     by IS_COPY; apply a window over ``chunk_window`` and drop them afterwards.
-
-    ``tails_of`` may name a cheaper source of the copies: any part of ``df``
-    with at least the newest ``rows`` rows of every key and year.
     """
     base = chunked(df, order)
-    source = base if tails_of is None else chunked(tails_of, order)
     fields = [order, *values]
-    tails = _tails(source.select(*keys, CHUNK, *fields), keys, rows, fields)
+    tails = _tails(base.select(*keys, CHUNK, *fields), keys, rows, fields)
     before = _earlier_chunks(keys).rowsBetween(-rows, -1)
     carried = F.flatten(F.collect_list("_tail").over(before))
     short = F.slice(carried, -F.least(F.size(carried), F.lit(rows)), rows)
@@ -113,11 +108,10 @@ def moving_average(
     rows: int,
     name: str,
     order: str = "date",
-    tails_of: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the current and ``rows - 1`` preceding rows, partial at the start."""
     frame = chunk_window(keys, order).rowsBetween(1 - rows, 0)
-    wide = look_back(df, keys, rows - 1, [value], order, tails_of)
+    wide = look_back(df, keys, rows - 1, [value], order)
     return originals(wide.withColumn(name, F.avg(value).over(frame)))
 
 

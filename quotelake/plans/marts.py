@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.functions.currency import BASE_CURRENCY
@@ -10,12 +10,6 @@ from quotelake.functions.numeric import pct, round2
 from quotelake.operators.fx import latest_rates
 from quotelake.operators.latest import latest_per_key
 from quotelake.operators.metrics import unpivot_levels
-from quotelake.operators.series import (
-    CHUNK,
-    chunked,
-    moving_average,
-    newest_in_chunk,
-)
 from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
 from quotelake.plans.staging import SYMBOL_COLUMNS, described_symbols
 from quotelake.sources.schemas import EUR_COLUMNS, LEVELS, PRICE_COLUMNS
@@ -84,18 +78,15 @@ def with_daily_change(prices: DataFrame) -> DataFrame:
     )
 
 
-def newest_of_years(bars: DataFrame) -> DataFrame:
-    """Bars that the average of the following year can reach back to."""
-    kept = newest_in_chunk(chunked(bars), ["symbol_id"], AVERAGE_ROWS - 1)
-    return kept.drop(CHUNK)
-
+def price_history(prices: DataFrame) -> DataFrame:
+    """Mart of all prices with daily change and the 7-row EUR average.
 
-def price_history(prices: DataFrame, tails: DataFrame | None = None) -> DataFrame:
-    """Mart of all prices with daily change and the 7-row EUR average. ``tails``
-    are the prices of ``newest_of_years``, if the caller has them apart."""
-    averaged = moving_average(
-        prices, ["ticker"], "close_eur", AVERAGE_ROWS, "_average", tails_of=tails
-    )
+    A symbol has one bar a day (``dq_unique_composite`` checks it), so the calendar
+    bounds a ticker's rows (50 years: 18,300) and one window per ticker needs one
+    read, one exchange and one sort. Series in which a day may repeat take
+    ``series.moving_average``."""
+    week = Window.partitionBy("ticker").orderBy("date").rowsBetween(1 - AVERAGE_ROWS, 0)
+    averaged = prices.withColumn("_average", F.avg("close_eur").over(week))
     return with_daily_change(averaged).select(
         *SYMBOL_COLUMNS,
         "date",

@@ -26,13 +26,14 @@ DATED = {
 
 
 class Lake:
-    """Tables below one root folder."""
+    """Raw tables below one root folder, marts below the same or another."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, marts_root: str | None = None):
         self.spark, self.root = spark, root
+        self.marts_root = marts_root or root
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.marts_root if name.startswith('mart_') else self.root}/{name}"
 
     def write(self, name: str, df: DataFrame) -> None:
         if name in DATED:
@@ -64,12 +65,7 @@ class Lake:
         return marts.eur_prices(self.staged_prices(), self.staged_fx())
 
     def price_history(self) -> DataFrame:
-        """Bars are cut to the year ends before the joins where only those are
-        needed, so the second pass over the table stays cheap."""
-        ends = marts.newest_of_years(self.raw("etf_data"))
-        staged = staging.stage_prices(ends, self.raw("symbols"))
-        tails = marts.eur_prices(staged, self.staged_fx())
-        return marts.price_history(self.eur_prices(), tails)
+        return marts.price_history(self.eur_prices())
 
     def latest_price(self) -> DataFrame:
         """Newest price per ticker without the moving average's window."""

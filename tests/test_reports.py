@@ -52,7 +52,8 @@ def test_cagr_of_one_row_is_the_fallback(spark):
 
 def test_projection(spark):
     growth = spark.createDataFrame([("A", 0.24)], "ticker string, cagr double")
-    found = portfolio.projection(growth, 100.0, 1, F.lit(date(2023, 1, 31)))
+    starting = spark.createDataFrame([("A", 100.0)], "ticker string, start_value double")
+    found = portfolio.projection(growth, starting, 1, F.lit(date(2023, 1, 31)))
     assert found.count() == 4 * 13
     month = {
         r.scenario: r for r in found.filter("month = 1").collect()
@@ -62,9 +63,45 @@ def test_projection(spark):
 
 
 def test_growth_starts_at_the_amount(spark):
-    prices = history(spark, A=[50.0, 100.0, 0.0])
-    found = portfolio.growth_of_amount(prices, 1000.0, 1, F.lit(D[5])).orderBy("date")
-    assert [r.value for r in found.collect()] == [1000.0, 2000.0, 0.0]
+    prices = history(spark, A=[50.0, 100.0, 0.0]).withColumn("native_currency", F.lit("EUR"))
+    found = portfolio.growth_of_amount(prices, 1000.0, 1, F.lit(D[5]), pivot(spark))
+    assert [r.value for r in found.orderBy("date").collect()] == [1000.0, 2000.0, 0.0]
+
+
+def pivot(spark):
+    return spark.createDataFrame([("EUR", 1.0), ("USD", 0.5)], "currency string, rate_to_eur double")
+
+
+@pytest.mark.parametrize("own, target, invested", [("USD", "EUR", 500.0), ("EUR", "USD", 2000.0), ("USD", "USD", 1000.0), ("CHF", "USD", 1000.0)])
+def test_growth_converts_the_amount(spark, own, target, invested):
+    prices = history(spark, A=[50.0, 100.0]).withColumn("native_currency", F.lit(own))
+    found = portfolio.growth_of_amount(prices, 1000.0, 1, F.lit(D[5]), pivot(spark), target)
+    assert [r.value for r in found.orderBy("date").collect()] == [invested, 2 * invested]
+
+
+def test_projection_starts_at_the_last_value_unless_in_the_future(spark):
+    tickers = spark.createDataFrame([("A", "USD"), ("NONE", "USD")], "ticker string, native_currency string")
+    planned = portfolio.planned_amounts(tickers, 1000.0, pivot(spark))
+    grown = spark.createDataFrame([("A", D[1], 7.0), ("A", D[0], 9.0)], "ticker string, date date, value double")
+
+    def starts(start):
+        found = portfolio.starting_values(planned, grown, F.lit(start), F.lit(D[3]))
+        return {r.ticker: r.start_value for r in found.collect()}
+
+    assert starts(D[3]) == {"A": 7.0, "NONE": 500.0}
+    assert starts(D[4]) == {"A": 500.0, "NONE": 500.0}
+
+
+def test_rows_are_shown_in_order(spark):
+    rows = [("b", D[0]), ("a", D[0]), ("a", D[2])]
+    found = reports.shown(spark.createDataFrame(rows, "name string, calculation_date date"), "metric_history")
+    assert [tuple(r) for r in found.collect()] == [("a", D[2]), ("a", D[0]), ("b", D[0])]
+
+
+def test_pivot_keeps_its_range(spark):
+    prices = history(spark, A=[1.0, 2.0, 3.0, 4.0])
+    found = reports.price_pivot(prices, ["A", "B"], D[1], D[2]).collect()
+    assert sorted((r.A, r.B) for r in found) == [(2.0, None), (3.0, None)]
 
 
 def test_portfolio_risk_has_one_worst_symbol(spark):
