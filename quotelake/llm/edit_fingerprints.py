@@ -212,21 +212,45 @@ def likeness(left: Column, right: Column) -> Column:
     return same / SLOTS
 
 
+def band_groups(least: float, band: int) -> list[tuple[int, ...]]:
+    """Sets of bands of which alike fingerprints agree in at least one.
+
+    Each differing slot spoils one band at most, so some number of bands stays whole. Dealt out
+    to one heap fewer, two whole bands share a heap: pairs within heaps are enough.
+    """
+    bands = SLOTS // band
+    whole = bands - int((1 - least) * SLOTS + 1e-9)
+    if whole < 1:
+        raise ValueError(f"bands of {band} slots may all differ at a likeness of {least}")
+    if whole == 1:
+        return [(b,) for b in range(bands)]
+    return [(b, c) for b in range(bands) for c in range(b + whole - 1, bands, whole - 1)]
+
+
 def near_pairs(found: DataFrame, least: float = 0.8, band: int = BAND) -> DataFrame:
-    """doc_id, other_id, likeness: documents linked to the smallest document of a band bucket that they are
-    at least ``least`` alike to. ``found`` has doc_id and fingerprint. Equal fingerprints are linked through one of
-    them, so a group of copies costs one link a document and band."""
-    bands = F.explode(
-        F.transform(F.sequence(F.lit(0), F.lit(SLOTS // band - 1)),
-                    lambda b: F.struct(b.alias("band"), F.substr("fingerprint", b * 2 * band + 1, F.lit(2 * band)).alias("bits")))
-    )
-    keyed = found.select("doc_id", "fingerprint", bands.alias("key"))
-    heads = keyed.groupBy(F.col("key").alias("head_key")).agg(
-        F.min(F.struct(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print"))).alias("head")
-    )
-    pairs = keyed.join(heads, F.col("key") == F.col("head_key")).filter(F.col("doc_id") != F.col("head.id"))
-    return (
-        pairs.select("doc_id", F.col("head.id").alias("other_id"), likeness(F.col("fingerprint"), F.col("head.print")).alias("likeness"))
-        .filter(F.col("likeness") >= least)
-        .distinct()
-    )
+    """doc_id, other_id, likeness of documents at least ``least`` alike; ``found`` has doc_id and fingerprint.
+
+    Equal fingerprints form a class: each of its documents is linked to the smallest, and only these smallest
+    ones are paired with other classes, so copies are not expanded into all pairs. Every alike pair of classes is
+    found: candidates agree in one of the ``band_groups``, and likeness decides within the join. A null id
+    names a class only where it has no other.
+    """
+    classes = found.groupBy("fingerprint").agg(F.min("doc_id").alias("own_id"))
+    part = 2 * band
+    keys = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("group"), F.concat(*[F.substring("fingerprint", b * part + 1, part) for b in group]).alias("bits"))
+        for n, group in enumerate(band_groups(least, band))
+    ]))
+    keyed = classes.select("own_id", "fingerprint", keys.alias("key"))
+    other = keyed.select(F.col("key").alias("other_key"), F.col("own_id").alias("next_id"), F.col("fingerprint").alias("next_print"))
+    alike = likeness(F.col("fingerprint"), F.col("next_print"))
+    pairs = keyed.join(
+        other,
+        (F.col("key") == F.col("other_key")) & (F.col("fingerprint") < F.col("next_print")) & (alike >= least),
+    ).select(
+        F.greatest("own_id", "next_id").alias("doc_id"), F.least("own_id", "next_id").alias("other_id"),
+        alike.alias("likeness"),
+    ).distinct()
+    named = classes.withColumnRenamed("fingerprint", "of")
+    copies = found.join(named, F.col("fingerprint") == F.col("of")).filter(F.col("doc_id") != F.col("own_id"))
+    return pairs.unionByName(copies.select("doc_id", F.col("own_id").alias("other_id"), F.lit(1.0).alias("likeness")))

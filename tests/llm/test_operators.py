@@ -260,6 +260,28 @@ def test_near_pairs(spark):
     assert pairs == {(2, 1), (3, 1)}
 
 
+@pytest.mark.parametrize("least", [0.8, 0.9])
+def test_near_pairs_lose_none(spark, least):
+    """Against all pairs: groups whose members differ in 0 to 20 of the 64 slots."""
+    rng = np.random.default_rng(11)
+    prints = []
+    for _ in range(12):
+        base = rng.integers(0, 256, 64, dtype=np.uint8)
+        for slots in range(0, 21, 2):
+            own = base.copy()
+            at = rng.choice(64, slots, replace=False)
+            own[at] += rng.integers(1, 256, slots, dtype=np.uint8)
+            prints.append(own)
+    expected = {
+        (j, i, float((prints[i] == prints[j]).mean()))
+        for j in range(len(prints)) for i in range(j) if (prints[i] == prints[j]).mean() >= least
+    }
+    found = spark.createDataFrame([(i, p.tobytes().hex()) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    pairs = edit_fingerprints.near_pairs(found, least).collect()
+    assert len(pairs) == len(expected) and {tuple(r) for r in pairs} == expected
+    assert len(expected) > 20
+
+
 def test_base_scores(docs):
     words = [(i, (t or "").encode().translate(LOWER).split()) for i, t in _texts()]
     held = [zlib.crc32(str(i if i is not None else "").encode()) % 7 == 2 for i, _ in words]
