@@ -5,20 +5,24 @@ takes it, found in a bit set keyed by free space: shift away the bins that are t
 full, take the lowest bit left. A full bin closes. Where no open bin takes a piece and the fixed number of
 bins is open, the fullest closes first.
 
-Pieces are dealt out by hash to blocks of a bounded number of tokens and rows, packed
-independently; a block ends with a bounded number of open bins, a small share of its bins.
+Packing follows the order of its input, by file and row. Consecutive documents form blocks of a bounded
+number of tokens and pieces, packed independently and in order, and the sequence ids of a block are above
+those of the blocks before it. A block ends with a bounded number of open bins, a small share of its bins.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quotelake.llm.common import stored, text_of
 from quotelake.llm.subwords import WordEncoder, tokenizer_path
@@ -30,8 +34,12 @@ OPEN_BINS = 1024
 BLOCK_TOKENS = 1 << 24
 BLOCK_PIECES = 200_000
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = f"{PIECES}, sequence_id long, offset long"
+#: Consecutive rows of a file that stay in one block.
+STRETCH = 64
+
+COLUMNS = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = f"file string, row long, {COLUMNS}"
+PACKED = f"{COLUMNS}, sequence_id long, offset long"
 
 
 class BestFit:
@@ -72,8 +80,19 @@ class BestFit:
         return number, self.width - free
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """file, row, doc_id, text: a row's place in its file, or in its partition where it comes from no file."""
+    own = [F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")]
+    try:
+        return docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), *own)
+    except AnalysisException:
+        at = docs.select(F.monotonically_increasing_id().alias("at"), *own)
+        part = F.concat(F.lit("part-"), F.shiftright("at", 33).cast("string"))
+        return at.select(part.alias("file"), F.col("at").bitwiseAND((1 << 33) - 1).alias("row"), "doc_id", "text")
+
+
 def token_pieces(docs: DataFrame, width: int = WIDTH, path: str | None = None) -> DataFrame:
-    """Pieces of at most ``width`` tokens: doc_id, piece, start, length, ids_crc32.
+    """Pieces of at most ``width`` tokens: file, row, doc_id, piece, start, length, ids_crc32.
 
     A document is its subword ids and then id 0; a null text is empty, so has the one id 0.
     """
@@ -83,47 +102,74 @@ def token_pieces(docs: DataFrame, width: int = WIDTH, path: str | None = None) -
         encoder = WordEncoder(path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for file, row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids = encoder.ids(text) + b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * width)):
                     own = ids[at : at + 4 * width]
-                    rows.append((doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own)))
+                    rows.append((file, row, doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield _batch(rows)
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(pieces, PIECES)
+    return in_order(docs).mapInArrow(pieces, PIECES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-        names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        names=["file", "row", "doc_id", "piece", "start", "length", "ids_crc32"],
+    )
+
+
+def _file_order(path: str) -> tuple[str, int, str]:
+    """Folder, then number of the part (which may have more digits than its padding), then name."""
+    folder, _, name = path.rpartition("/")
+    number = re.match(r"part-(\d+)", name)
+    return folder, int(number[1]) if number else -1, name
+
+
+def block_cuts(pieces: DataFrame) -> DataFrame:
+    """file, stretch, number (of the file in the order), block of every stretch of rows.
+
+    A piece costs its share of a block's tokens and of its pieces, so a block is within both bounds but for
+    its last stretch. The driver holds one number per file."""
+    # whole numbers: the same sums in any order
+    cost = F.sum(F.col("length") * BLOCK_PIECES + BLOCK_TOKENS)
+    sizes = stored(
+        pieces.groupBy("file", F.floor(F.col("row") / STRETCH).alias("stretch")).agg(cost.alias("cost")), "stretches"
+    )
+    totals = {r.file: r.cost for r in sizes.groupBy("file").agg(F.sum("cost").alias("cost")).collect()}
+    begins, rows = 0, []
+    for number, file in enumerate(sorted(totals, key=_file_order)):
+        rows.append((file, number, begins))
+        begins += totals[file]
+    files = pieces.sparkSession.createDataFrame(rows, "file string, number long, begins long")
+    before = Window.partitionBy("file").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.col("begins") + F.coalesce("within", F.lit(0))
+    return sizes.withColumn("within", F.sum("cost").over(before)).join(F.broadcast(files), "file").select(
+        "file", "stretch", "number", F.floor(reached / (BLOCK_TOKENS * BLOCK_PIECES)).alias("block")
     )
 
 
 def pack(pieces: DataFrame, width: int = WIDTH, open_bins: int = OPEN_BINS) -> DataFrame:
-    """Sequence and offset of every piece (columns of ``PIECES``). Repeated rows and null ids are
+    """Sequence and offset of every piece (columns of ``PIECES``), in their order. Repeated rows and null ids are
     packed like any others; an empty table gives an empty result."""
-    totals = pieces.agg(F.sum("length").alias("tokens"), F.count(F.lit(1)).alias("n")).first()
-    blocks = max(1, -(-(totals.tokens or 0) // BLOCK_TOKENS), -(-totals.n // BLOCK_PIECES))
-    # ids may repeat or be null, so the content takes part in dealing and ordering
-    key = F.xxhash64("doc_id", "piece", "ids_crc32", "length")
 
     def packed(block: pa.Table) -> pa.Table:
         number = block.column("block")[0].as_py()
-        block = block.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        block = block.sort_by([("number", "ascending"), ("row", "ascending"), ("piece", "ascending")])
         fit = BestFit(width, open_bins)
         places = [fit.place(n) for n in block.column("length").to_pylist()]
         bins, offsets = (np.array(c, dtype=np.int64) for c in zip(*places, strict=True))
         return (
-            block.drop_columns(["block", "order"])
+            block.drop_columns(["block", "number", "row"])
             .append_column("sequence_id", pa.array(bins + (number << 32)))
             .append_column("offset", pa.array(offsets))
         )
 
-    dealt = pieces.withColumn("order", key).withColumn("block", F.pmod(F.xxhash64("order"), F.lit(blocks)))
-    return dealt.groupBy("block").applyInArrow(packed, PACKED)
+    dealt = pieces.withColumn("stretch", F.floor(F.col("row") / STRETCH)).join(block_cuts(pieces), ["file", "stretch"])
+    own = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    return dealt.select("block", "number", "row", *own).groupBy("block").applyInArrow(packed, PACKED)
 
 
 def pack_documents(docs: DataFrame, width: int = WIDTH, path: str | None = None) -> DataFrame:

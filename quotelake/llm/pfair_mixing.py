@@ -162,13 +162,15 @@ def _slot(k: Column) -> Column:
 
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
-    """All documents, ordered within chunks of consecutive slots of the mixture."""
+    """All documents in the order of the mixture: partitions (and so the files written from them) in order of slot,
+    and rows by slot and place within them."""
     placed = mix_sources(docs, weights)
-    chunk = F.floor(F.col("__slot") * BLOCK / CHUNK)
+    # a chunk of consecutive slots is a partition of its own; at most one block per source is not full
+    blocks = docs.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n")).agg(F.sum("n")).first()[0] or 0
+    chunk = F.floor(F.col("__slot") * BLOCK / CHUNK).cast("int")
     return (
-        placed.withColumn("__chunk", chunk)
-        .repartition("__chunk")
-        .sortWithinPartitions("__chunk", "__slot", "__at")
+        placed.repartitionById(max(1, -(-blocks * BLOCK // CHUNK)), chunk)
+        .sortWithinPartitions("__slot", "__at")
         .select("__doc.*")
     )
 

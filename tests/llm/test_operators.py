@@ -196,6 +196,29 @@ def test_packing(docs):
         assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:]))
 
 
+def test_packing_follows_the_mixture(spark, tmp_path, monkeypatch):
+    """Every stretch of sequences holds the source weights, over several files and blocks."""
+    monkeypatch.setattr(pfair_mixing, "CHUNK", 320)
+    monkeypatch.setattr(packing, "BLOCK_PIECES", 500)
+    sizes = {"a": 1600, "b": 400}  # weights 2/3 and 1/3, until b runs out after 1,200 documents
+    rows = [(n, f"{s} text number {n}", s) for n, s in enumerate([s for s, k in sizes.items() for _ in range(k)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    path = str(tmp_path / "mixed")
+    pfair_mixing.mixed(docs).write.parquet(path)
+    assert len(list((tmp_path / "mixed").glob("part-*"))) >= 6
+    stored = spark.read.parquet(path)
+    found = packing.pack_documents(stored, 64).collect()
+    assert sorted(r.doc_id for r in found) == list(range(2000))
+    source = {n: s for n, _, s in rows}
+    order = [source[r.doc_id] for r in sorted(found, key=lambda r: (r.sequence_id, r.offset))]
+    for at in range(0, 1080, 120):
+        assert abs(order[at : at + 120].count("b") - 40) <= 40, (at, order[at : at + 120].count("b"))
+    for n in (300, 600, 900, 1100):
+        assert abs(order[:n].count("b") - n / 3) < 34
+    assert order[1300:].count("b") == 0
+    assert len({r.sequence_id >> 32 for r in found}) >= 4
+
+
 def test_bounded_bins():
     fit = packing.BestFit(10, 2)
     assert [fit.place(n) for n in (6, 5, 4, 8, 5)] == [(0, 0), (1, 0), (0, 6), (2, 0), (1, 5)]
