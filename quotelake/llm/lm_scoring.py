@@ -9,9 +9,8 @@ id. The counts give the id classes, the shares of ids within classes, and the fi
 the attention model (``attention.py``).
 
 Its other weights are trained in numpy. A first model learns from ``WARM`` documents; then
-trainers, one for each ``TRAINER_WORDS`` tokens of the corpus, go on from it with one document in
-``TRAINED`` each from their own share of the documents, and their weights are averaged in a tree. What
-is learned from grows with the corpus.
+trainers, one for each ``TRAINER_WORDS`` tokens of the corpus, go on from it, each over its own share of the
+training documents, and their weights are averaged in a tree. Every training document is learned from.
 
 The base score joins posting lists, not single words, with the word counts; a frequent word has
 one row for each block, and adaptive execution may split those.
@@ -44,8 +43,7 @@ HELD_BLOCKS = 300
 
 WARM = 800
 WARM_ROUNDS = 3
-TRAINED = 120
-TRAINER_WORDS = 25_000_000
+TRAINER_WORDS = 1_000_000
 RATE = 0.02
 
 #: Ids whose counts after each class are kept; the others follow their share of the class.
@@ -197,10 +195,14 @@ def train_model(
     data = warm.dump()
     trainers = max(1, -(-tokens // TRAINER_WORDS))
 
-    def trained(share: pa.Table) -> pa.Table:
-        number, sequences = share.column("trainer")[0].as_py(), share.column("ids").to_pylist()
-        own = learned(Weights.load(data, sizes), sequences, 1, RATE / 2, number)
-        return pa.table({"trainer": [number], "weight": [float(len(sequences))], "model": [own.dump()]})
+    def trained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequences = [ids for batch in batches for ids in batch.column(0).to_pylist()]
+        if sequences:
+            number = TaskContext.get().partitionId() % trainers
+            own = learned(Weights.load(data, sizes), sequences, 1, RATE / 2, number)
+            yield pa.RecordBatch.from_pydict(
+                {"trainer": [number], "weight": [float(len(sequences))], "model": [own.dump()]}
+            )
 
     def averaged(models: pa.Table) -> pa.Table:
         weight = np.array(models.column("weight").to_pylist())
@@ -211,10 +213,9 @@ def train_model(
         return pa.table({"trainer": [group], "weight": [float(weight.sum())], "model": [mean]})
 
     schema = "trainer long, weight double, model binary"
-    chosen = training.filter(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(TRAINED)) == 0).select(
-        F.pmod(F.xxhash64("doc_id", F.lit("trainer")), F.lit(trainers)).alias("trainer"), "ids"
-    )
-    models = chosen.groupBy("trainer").applyInArrow(trained, schema)
+    # the row's place takes part, so null or repeated ids and texts spread over all trainers
+    share = F.xxhash64("doc_id", "ids", "block", "doc", F.lit("trainer"))
+    models = training.repartition(trainers, share).select("ids").mapInArrow(trained, schema)
     while trainers > 1:
         models = stored(models, "trained").withColumn("trainer", F.floor(F.col("trainer") / 64))
         models = models.groupBy("trainer").applyInArrow(averaged, schema)
@@ -415,7 +416,7 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     )
     blocks = stored(document_blocks(plain, path), "blocks")
     rows = blocks.filter(F.col("ids").isNotNull())
-    training = rows.filter(~F.col("held_out")).select("doc_id", "ids")
+    training = rows.filter(~F.col("held_out")).select("block", "doc", "doc_id", "ids")
     counts = stored(
         blocks.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
     )

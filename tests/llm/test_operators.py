@@ -320,6 +320,26 @@ def test_base_scores(docs):
     assert all(r.score < 0 and r.train_tokens == total for r in found)
 
 
+def test_trainers_learn_from_every_document(spark, monkeypatch):
+    """Null and repeated ids with equal texts included; these spread over the trainers."""
+    from quotelake.llm import attention
+
+    def counting(w, texts, coarse_of, rounds, rate, seed=0):
+        w.after[0, 0] = len(texts)
+        return w, []
+
+    monkeypatch.setattr(attention, "train", counting)
+    rows = [(0, n, None if n < 200 else 7 if n < 400 else n, b"\1\0\2\0") for n in range(600)]
+    training = spark.createDataFrame(rows, "block long, doc int, doc_id long, ids binary")
+    classes = attention.make_classes(np.arange(1000.0)[::-1], np.arange(1000) % 2 == 0)
+    for trainers in (1, 3):
+        first = attention.Weights.start(classes.sizes)
+        tokens = trainers * lm_scoring.TRAINER_WORDS
+        learned = lm_scoring.train_model(training, len(rows), tokens, first, classes).after[0, 0]
+        # averaged with the trainers' numbers of texts as weights
+        assert learned == 600 if trainers == 1 else 200 <= learned < 240
+
+
 def test_model_is_a_distribution():
     from quotelake.llm import attention
 
