@@ -5,7 +5,7 @@ share classes by frequency and by whether they begin a word. The model predicts
 from the fine classes before it; the id within its class gets its probability from corpus counts, so every
 id has one.
 
-One attention layer reads the last 9 to 16 classes: positions are scored in chunks of ``CHUNK``, and a chunk's
+One attention layer reads the last 17 to 32 classes: positions are scored in chunks of ``CHUNK``, and a chunk's
 keys are the chunk before and itself, masked to the past. The windows overlap by one chunk and each
 token is scored once.
 """
@@ -17,11 +17,11 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 
-CHUNK = 8
+CHUNK = 16
 CONTEXT = 2 * CHUNK
-COARSE = (64, 15)
+COARSE = (96, 31)
 FINE = (448, 63)
-WIDTH = 16
+WIDTH = 24
 
 #: Windows in a training step, and windows scored at a time.
 STEP_WINDOWS = 256

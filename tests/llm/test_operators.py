@@ -357,6 +357,25 @@ def test_model_is_a_distribution():
     assert np.allclose(both, [ends[0], longer[0]], atol=1e-3)
 
 
+def test_attention_reaches_far_back():
+    """A class 17 places back changes what follows, in every place of a chunk; classes and vectors have their full size."""
+    from quotelake.llm import attention
+
+    assert (attention.COARSE, attention.WIDTH, attention.CONTEXT) == ((96, 31), 24, 32)
+    coarse_of = np.append(0, np.arange(sum(attention.FINE)) % sum(attention.COARSE) + 1).astype(np.uint8)
+    w = attention.Weights.start((len(coarse_of), sum(attention.COARSE) + 1))
+    head = np.random.default_rng(8).integers(1, 400, 40).astype(np.uint16)
+
+    def scores(text):  # of each class, as differences of prefixes
+        ends = [attention.text_scores(w, text[:n], np.array([n]), coarse_of)[0] for n in range(16, 41)]
+        return np.array(ends)
+
+    changed = head.copy()
+    changed[2] += 1
+    far = scores(head)[3:17] - scores(changed)[3:17]  # prefixes of 19 to 32 classes
+    assert (np.abs(np.diff(far)) > 1e-7).sum() > 8
+
+
 def test_gradient():
     from quotelake.llm import attention
 
