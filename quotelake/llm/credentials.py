@@ -10,9 +10,10 @@ complete it lie within ``SCOPE`` code points:
 
 Access keys and names are identifiers; assignments, hex strings and keys are secrets.
 
-The interval join is an equi-join on cells of ``SCOPE`` code points: every candidate meets the first and
-last part of each role in its own and the two neighbouring cells, which decides exactly and never
-pairs all parts of a scope. Only built-in functions are used.
+Parts are as far apart as the gap from one's end to the other's start; full stops at an end do not count as part.
+The interval join is an equi-join on cells of ``SCOPE`` code points: every part lies in each cell it touches, and
+every candidate meets the least start and greatest end of each role in its own and the two neighbouring
+cells, which decides exactly and never pairs all parts of a scope. Only built-in functions are used.
 """
 
 from __future__ import annotations
@@ -56,8 +57,9 @@ def _spans(kind: str) -> Column:
         F.transform(F.slice(between, 1, F.size(whole)), F.char_length).alias("skip"),
         F.transform(whole, F.char_length).alias("own"),
         F.transform(value, F.char_length).alias("value"),
+        F.transform(whole, lambda x: F.char_length(F.rtrim(x, F.lit(".")))).alias("reach"),
     )
-    span = "struct<start:int,rank:int,end:int,kind:string,kept:boolean>"
+    span = "struct<start:int,rank:int,end:int,kind:string,kept:boolean,reach:int>"
     empty = F.expr(f"cast(array() as array<{span}>)")
     walked = F.aggregate(
         lengths,
@@ -72,6 +74,7 @@ def _spans(kind: str) -> Column:
                     (found["at"] + x["skip"] + x["own"]).alias("end"),
                     F.lit(kind).alias("kind"),
                     (x["value"] >= least).alias("kept"),
+                    (found["at"] + x["skip"] + x["reach"]).alias("reach"),
                 ),
             ).alias("spans"),
         ),
@@ -100,17 +103,19 @@ def _linked(found: DataFrame) -> DataFrame:
         "part",
         F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[F.col("part.kind")].alias("role"),
         F.floor(F.col("part.start") / SCOPE).alias("cell"),
+        F.floor(F.col("part.reach") / SCOPE).alias("last_cell"),
     )
-    ends = parts.groupBy(
+    ends = parts.withColumn("cell", F.explode(F.sequence("cell", "last_cell"))).groupBy(
         F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), F.col("cell").alias("of_cell"), "role"
-    ).agg(F.min("part.start").alias("first"), F.max("part.start").alias("last"))
+    ).agg(F.min("part.start").alias("first"), F.max("part.reach").alias("last"))
     weak = parts.filter(F.col("part.rank") >= len(STRONG)).select(
-        "doc_id", "digest", "part", "cell", F.explode(F.array(*[F.col("cell") + d for d in (-1, 0, 1)])).alias("beside")
+        "doc_id", "digest", "part", "cell", "last_cell",
+        F.explode(F.sequence(F.col("cell") - 1, F.col("last_cell") + 1)).alias("beside"),
     )
-    start = F.col("part.start")
+    # parts that touch one cell are less than its width apart
     near = (
-        F.when(F.col("beside") < F.col("cell"), start - F.col("last") <= SCOPE)
-        .when(F.col("beside") > F.col("cell"), F.col("first") - start <= SCOPE)
+        F.when(F.col("beside") < F.col("cell"), F.col("part.start") - F.col("last") <= SCOPE)
+        .when(F.col("beside") > F.col("last_cell"), F.col("first") - F.col("part.reach") <= SCOPE)
         .otherwise(True)
     )
     met = weak.join(
@@ -133,7 +138,7 @@ def _linked(found: DataFrame) -> DataFrame:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, ``strong`` and ``links`` (arrays of start, rank, end, kind, kept) of every row. A null text is
+    """doc_id, ``strong`` and ``links`` (arrays of start, rank, end, kind, kept, reach) of every row. A null text is
     empty. Repeated rows and null ids get their own text's spans; an empty table gives an empty result."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("__text"))
     strong = F.concat(*[_spans(k) for k in STRONG])
@@ -142,11 +147,12 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         "doc_id", strong.alias("strong"), weak.alias("candidates"),
         F.xxhash64("__text", F.char_length("__text")).alias("digest"),
     )
-    # a weak key that is part of a strong match is no candidate of its own
-    clear = F.filter(
-        "candidates",
-        lambda w: ~F.exists("strong", lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])),
-    )
+    # a weak key that overlaps a strong match, or a span within one, is no candidate of its own
+    def covers(s: Column, w: Column) -> Column:
+        key = (w["kind"] == "key") & (w["start"] < s["end"]) & (s["start"] < w["end"])
+        return key | ((s["start"] <= w["start"]) & (w["end"] <= s["end"]))
+
+    clear = F.filter("candidates", lambda w: ~F.exists("strong", lambda s: covers(s, w)))
     found = stored(found.select("doc_id", "digest", "strong", clear.alias("weak")), "secrets")
     links = _linked(found)
     return found.join(

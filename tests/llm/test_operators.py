@@ -251,6 +251,24 @@ def test_weak_parts_alone_are_not_reported(spark):
     assert found[1] == found[2] == "" and found[3].startswith("assign")
 
 
+def test_overlapping_and_adjoining_parts_are_linked(spark):
+    long = "password=" + "x1" * 150
+    texts = [
+        "user=anna at https://host.example/v1?token=abcdef123",
+        "client_id=anna https://host.example/" + "0123456789abcdef" * 2 + "/x",
+        long + " user=anna", long + "." * 10 + " " * 180 + " user=anna", "user=anna" + " " * 200 + long,
+        "user=anna" + " " * 201 + long, long + " " * 200 + "user=anna", long + " " * 201 + "user=anna",
+        "https://h.example/" + "a/" * 300 + " user=anna password=abcdefgh",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in credentials.digest_rows(credentials.find_secrets(table)).collect()}
+    kinds = [[s.split(":")[0] for s in rows[n].split(",")] for n in range(len(texts))]
+    assert kinds == [
+        ["name", "endpoint", "assign"], ["name", "endpoint", "hex"], ["assign", "name"], ["assign", "name"],
+        ["name", "assign"], ["assign"], ["assign", "name"], ["assign"], ["endpoint", "name", "assign"],
+    ]
+
+
 def test_edit_fingerprints(docs):
     rows = sorted(edit_fingerprints.fingerprint_documents(docs).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     texts = [t or "" for _, t in sorted(_texts(), key=lambda r: (r[0] is not None, r[0] or 0))]
