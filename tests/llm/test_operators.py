@@ -167,6 +167,30 @@ def test_mixture_stays_within_a_block():
     assert blocks == {"a": 7, "b": 90, None: 3}
 
 
+def test_mixture_is_exact_for_any_weights(spark):
+    """Small weights and such that are no thousandths, over many slots; more than 1,000 sources."""
+    weights = {"a": 0.33345, "b": 0.66645, None: 0.0001}
+    shares = pfair_mixing.shares_of(weights)
+    assert shares == {"a": 6669, "b": 13329, None: 2}
+    phases = pfair_mixing.plan_phases({"a": 20_000, "b": 40_000, None: 7}, shares)
+    slots = sorted((slot, row[0]) for row in phases if row[1] == 0 for slot in row[-1])
+    assert len(slots) > 50_000 and [at for at, _ in slots] == list(range(len(slots)))
+    served = collections.Counter()
+    for at, source in slots:
+        served[source] += 1
+        assert all(abs(served[s] - w * (at + 1)) < 1 for s, w in weights.items())
+    many = {f"s{n}": float(n + 1) for n in range(1500)}
+    assert pfair_mixing.shares_of(many) == {s: int(w) for s, w in many.items()}
+    root = pfair_mixing.shares_of({"a": 2**0.5, "b": 3**0.5})
+    assert abs(root["a"] / sum(root.values()) - 2**0.5 / (2**0.5 + 3**0.5)) < 1e-9
+    docs = spark.createDataFrame([(n, "b" if n % 3 else "a") for n in range(9000)], "doc_id long, source string")
+    given = {"a": 0.33345, "b": 0.66655}
+    found = pfair_mixing.mix_sources(docs, given, 2).select("__source", "__slot", "__phase", "__weight", "__deviation").collect()
+    assert len(found) == 9000 and len({r["__slot"] for r in found}) == 4500
+    first = [r for r in found if r["__phase"] == 0]
+    assert all(r["__weight"] == given[r["__source"]] and abs(r["__deviation"]) < 1 for r in first)
+
+
 def test_mixture_keeps_every_row(docs):
     assert sorted(map(repr, pfair_mixing.mixed(docs).collect())) == sorted(map(repr, docs.collect()))
     slots = [(r.slot, r.place) for r in pfair_mixing.report(docs).collect()]
