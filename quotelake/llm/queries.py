@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import (
+    collocations,
+    conversation_repair,
     credentials,
     edit_fingerprints,
     exact_dedup,
@@ -13,6 +15,7 @@ from quotelake.llm import (
     packing,
     pfair_mixing,
     quality_knn,
+    quality_rules,
     sharding,
     simhash,
     toxicity_pu,
@@ -75,6 +78,25 @@ def op10_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_pu.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score"
+    )
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "cutoff_level",
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +110,9 @@ QUERIES = {
         op8_credentials,
         op9_packing,
         op10_toxicity_pu,
+        op11_collocations,
+        op12_quality_rules,
+        op13_conversation_repair,
     )
 }
 
