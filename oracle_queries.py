@@ -827,6 +827,11 @@ QUERIES = {
       FROM etf_data e JOIN symbols s ON s.id = e.symbol_id GROUP BY name""",
     "latest_date": """
       SELECT symbol_id, max(date) AS latest_date FROM etf_data GROUP BY 1""",
+    "symbol_state": """
+      SELECT symbol_id, min(date) AS first_date, max(date) AS latest_date,
+             arg_max(close, date) AS last_close, max(close) AS peak_close,
+             count(*) AS rows, max(id) AS max_id
+      FROM etf_data GROUP BY 1""",
     "incremental_bars": """
       SELECT l.* FROM landed l
       LEFT JOIN (SELECT symbol_id, max(date) AS mark FROM etf_data GROUP BY 1) m

@@ -21,6 +21,7 @@ from quotelake.operators import (
     reconcile,
     reports,
     runlog,
+    state,
 )
 from quotelake.operators.metrics import entry_levels, metrics_52week, newest_date
 from quotelake.operators.upsert import update_by_key
@@ -558,13 +559,21 @@ def history_span(spark, folder):
 
 @query
 def latest_date(spark, folder):
-    return loading.latest_dates(_bars(spark, folder))
+    """High-water marks from the stored state, not from the bar table."""
+    return state.marks(lake_for(spark, folder).state())
 
 
 @query
 def incremental_bars(spark, folder):
-    bars = _bars(spark, folder)
-    return loading.only_newer(derive.new_batch(bars), bars)
+    """Landed bars past the marks of the stored state."""
+    lake = lake_for(spark, folder)
+    return state.only_newer_by_state(derive.new_batch(_bars(spark, folder)), lake.state(), loading.HISTORY_START)
+
+
+@query
+def symbol_state(spark, folder):
+    """One state row per symbol, folded from the stored month rows."""
+    return state.fold(lake_for(spark, folder).state())
 
 
 @query

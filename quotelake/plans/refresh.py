@@ -12,6 +12,7 @@ from quotelake.operators.loading import load_bars, load_metrics, load_thresholds
 from quotelake.operators.metrics import metrics_52week
 from quotelake.operators.latest import latest_per_key
 from quotelake.operators.quality import accepted, batch_report
+from quotelake.operators.state import next_bar_id
 from quotelake.sources.lake import DATED, Lake
 from quotelake.sources.storage import MONTH, month_of, settle, write_dated
 
@@ -25,6 +26,7 @@ def merge_months(
     months: list[int],
     merge: Callable[[DataFrame, Column], DataFrame],
     staging: str,
+    first_id: Column | None = None,
 ) -> None:
     """Replace the given month partitions of a stored table by a merge of them.
 
@@ -34,7 +36,7 @@ def merge_months(
     """
     stored = lake.raw(table)
     current = stored.filter(F.col(MONTH).isin(months)).drop(MONTH)
-    merged = settle(merge(current, next_id(stored)), staging)
+    merged = settle(merge(current, next_id(stored) if first_id is None else first_id), staging)
     write_dated(merged, lake.path(table), *DATED[table], replace_all=False)
 
 
@@ -76,7 +78,9 @@ def load_batch(
             current, passed, symbols, rates, loaded_at, first_new_id=first_id
         )
 
-    merge_months(lake, "etf_data", months, bars, f"{staging}/etf_data")
+    # new ids follow the greatest one in the state; the state of the touched months follows the bars
+    merge_months(lake, "etf_data", months, bars, f"{staging}/etf_data", next_bar_id(lake.state()))
+    lake.refresh_state(months)
     refresh_metrics(lake, passed.select("symbol_id"), loaded_at, as_of, staging)
     return report
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quotelake.operators import state
 from quotelake.plans import marts, staging
 from quotelake.session import configure
 from quotelake.sources import derive
@@ -22,6 +24,7 @@ DATED = {
     "fifty_two_week_metrics": ("calculation_date", ["symbol_id"]),
     "decrease_thresholds": ("calculation_date", ["symbol_id"]),
     "mart_price_history": ("date", ["ticker", "date"]),
+    "symbol_state": ("latest_date", ["symbol_id"]),
 }
 
 
@@ -46,6 +49,15 @@ class Lake:
         on which date filters prune."""
         return read_table(self.spark, self.path(name), RAW_TABLES[name], name in DATED)
 
+    def state(self) -> DataFrame:
+        """Stored state rows, one per (symbol, month); fold them for one row per symbol."""
+        return self.raw("symbol_state").drop(MONTH)
+
+    def refresh_state(self, months: list[int]) -> None:
+        """Recompute the state rows of the given months from those months of the bars only."""
+        bars = self.raw("etf_data").filter(F.col(MONTH).isin(months))
+        write_dated(state.month_state(bars), self.path("symbol_state"), *DATED["symbol_state"], replace_all=False)
+
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
@@ -102,6 +114,7 @@ def build_raw(spark: SparkSession, folder: str) -> Lake:
     lake.write("currency_rates", derive.currency_rates(spark, folder))
     symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
     lake.write("etf_data", derive.etf_data(spark, folder, symbols, rates))
+    lake.write("symbol_state", state.month_state(lake.raw("etf_data")))
     lake.write("fifty_two_week_metrics", derive.metrics(lake.raw("etf_data")))
     stored = lake.raw("fifty_two_week_metrics").drop(MONTH)
     lake.write("decrease_thresholds", derive.thresholds(stored))

@@ -102,6 +102,18 @@ MART_FX_RATES = T.StructType(
     )
 )
 
+SYMBOL_STATE = T.StructType(
+    _fields(
+        ("symbol_id", _LONG),
+        ("first_date", _DATE),
+        ("latest_date", _DATE),
+        ("last_close", _DOUBLE),
+        ("peak_close", _DOUBLE),
+        ("rows", _LONG),
+        ("max_id", _LONG),
+    )
+)
+
 RAW_TABLES = {
     "symbols": SYMBOLS,
     "currency_rates": CURRENCY_RATES,
@@ -109,6 +121,7 @@ RAW_TABLES = {
     "fifty_two_week_metrics": METRICS,
     "decrease_thresholds": THRESHOLDS,
     "holdings": HOLDINGS,
+    "symbol_state": SYMBOL_STATE,
 }
 
 _STEP = T.StructType(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators import state
 from quotelake.plans import documents, refresh
 from quotelake.sources import files
 from quotelake.sources.lake import Lake, lake_for
@@ -17,7 +18,7 @@ from quotelake.sources.schemas import (
     SYMBOLS,
     THRESHOLDS,
 )
-from quotelake.sources.storage import in_dates, read_optional, settle, shared_folder
+from quotelake.sources.storage import MONTH, in_dates, read_optional, settle, shared_folder
 from quotelake.streaming.bars import LANDED_BARS, load_landed_files
 
 OLD = datetime(2024, 1, 1, 21, 15)
@@ -97,6 +98,7 @@ def lake(spark, tmp_path):
     lake.write("currency_rates", spark.createDataFrame(rates, CURRENCY_RATES))
     lake.write("fifty_two_week_metrics", spark.createDataFrame([], METRICS))
     lake.write("decrease_thresholds", spark.createDataFrame([], THRESHOLDS))
+    lake.write("symbol_state", state.month_state(lake.raw("etf_data")))
     return lake
 
 
@@ -205,3 +207,38 @@ def test_run_log_round_trip(spark, folder, tmp_path):
     assert logs[7].errors == ['error: {"k": 1}']
     assert (logs[7].overall_success, logs[8].overall_success) == (False, True)
     assert logs[7].overall_duration == 3600.0
+
+
+def _folded(df):
+    return sorted(tuple(r) for r in state.fold(df).collect())
+
+
+def test_load_keeps_the_state_equal_to_a_recount(spark, lake):
+    landed = spark.createDataFrame(
+        [(1, date(2024, 1, 9), 12.0, 12.0, 12.0, 12.0, 7, 1), (1, date(2024, 2, 1), 13.0, 13.0, 13.0, 13.0, 7, 1)],
+        LANDED_BARS,
+    )
+    refresh.load_batch(lake, landed, now(), AS_OF, f"{lake.root}/staging")
+    recount = state.month_state(lake.raw("etf_data"))
+    assert _folded(lake.state()) == _folded(recount)
+    ids = [r.id for r in lake.raw("etf_data").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_state_fold_is_associative_over_any_split(spark, lake):
+    bars = lake.raw("etf_data").drop(MONTH)
+    whole = _folded(state.month_state(bars))
+    days = sorted({r.date for r in bars.select("date").collect()})
+    for cut in days:
+        before, after = bars.filter(F.col("date") < cut), bars.filter(F.col("date") >= cut)
+        parts = state.month_state(before).unionByName(state.month_state(after))
+        assert _folded(parts) == whole
+        # folding folded parts again changes nothing
+        assert _folded(state.fold(parts).withColumn("x", F.lit(1)).drop("x")) == whole
+
+
+def test_marks_read_the_state_not_the_bars(spark, lake):
+    plan = state.only_newer_by_state(lake.raw("etf_data").drop(MONTH), lake.state(), "2021-12-01")
+    scans = [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert any("symbol_state" in line for line in scans)
+    assert sum("etf_data" in line for line in scans) == 1  # the landed rows only
