@@ -66,7 +66,7 @@ def _corpus():
 
 def test_collocations_equal_brute_force(spark):
     rows = _corpus()
-    df = spark.createDataFrame([(*r, "x", "y", 1, 2) for r in rows], DOCS).repartition(5)
+    df = spark.createDataFrame([(*r, "src", "x", "y", 1, 2) for r in rows], DOCS).repartition(5)
     got = collocations.collocations(df, top=50).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
     assert sorted(tuple(r) for r in got.collect()) == brute_collocations([(r[1], r[2]) for r in rows], top=50)
 
@@ -77,7 +77,7 @@ def test_collocations_of_an_empty_table(spark):
 
 def test_chunks_own_every_word_once(spark):
     rows = _corpus()
-    df = spark.createDataFrame([(*r, "x", "y", 1, 2) for r in rows], DOCS)
+    df = spark.createDataFrame([(*r, "src", "x", "y", 1, 2) for r in rows], DOCS)
     dictionary = collocations.chunk_dictionary(df).collect()
     owned = collections.Counter()
     for r in dictionary:
@@ -216,7 +216,7 @@ def test_repair_of_a_long_conversation_is_linear_and_checkpointed():
     texts = [f"turn {i}." for i in range(n)]
     cost, audit, out = conversation_repair.repair(roles, texts)
     assert cost == 0 and audit == "K" * n and len(out) == n
-    roles[5], roles[6] = "assistant", "user"
+    roles[5], roles[6] = "user", "assistant"
     cost, audit, _ = conversation_repair.repair(roles, texts)
     assert cost == 2 and audit.count("R") == 2
 
