@@ -11,6 +11,7 @@ from quotelake.functions.numeric import exact_sum, ratio, round2
 from quotelake.operators.fx import rate_of, with_source_rate
 from quotelake.operators.series import carry_max, with_previous
 from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.summary import series_summary
 from quotelake.sources.storage import in_dates
 
 # Trading days per year, growth-rate limits and fallback, growth
@@ -242,7 +243,8 @@ def affordable_units(priced: DataFrame) -> DataFrame:
 
 def symbol_risk(prices: DataFrame) -> DataFrame:
     """Volatility and worst drawdown per ticker, of the EUR price (``in_eur``) and of
-    the native one. Both are series of their own within one scan of the prices."""
+    the native one. Both are series of their own within one scan of the prices, each
+    folded once per (ticker, year) by ``series_summary``."""
     both = F.array(
         F.struct(F.lit(True).alias("in_eur"), F.col("close_eur")),
         F.struct(F.lit(False).alias("in_eur"), F.col("close").alias("close_eur")),
@@ -250,9 +252,7 @@ def symbol_risk(prices: DataFrame) -> DataFrame:
     series = prices.select("ticker", "date", F.inline(both)).select(
         F.struct("ticker", "in_eur").alias("ticker"), "date", "close_eur"
     )
-    found = worst_drawdown(running_drawdown(series)).join(
-        volatility(daily_returns(series)), "ticker", "left"
-    )
+    found = series_summary(series, ["ticker"], "close_eur")
     return found.select(
         "ticker.ticker", "ticker.in_eur", *(c for c in found.columns if c != "ticker")
     )

@@ -126,3 +126,36 @@ def test_numbering_is_dense_and_repeatable(spark):
     assert runs[0] == runs[1]
     assert sorted(runs[0].values()) == list(range(101, 3101))
     assert HASH_DIGITS == 3
+
+
+def test_series_summary_equals_window_operators(spark):
+    import random
+    from datetime import date, timedelta
+
+    from quotelake.operators import portfolio
+    from quotelake.operators.summary import series_summary
+
+    rnd = random.Random(9)
+    rows = []
+    for ticker, n in (("HOT", 1500), ("A", 40), ("Z", 3), ("N", 5)):
+        day, price = date(2019, 12, 20), 10.0
+        for i in range(n):
+            day += timedelta(days=rnd.choice([1, 1, 1, 3]))
+            price = max(0.0, price * (1 + rnd.uniform(-0.08, 0.07)))
+            close = None if rnd.random() < 0.05 or ticker == "N" else rnd.choice([price] * 20 + [0.0])
+            rows.append((ticker, day, close))
+    prices = spark.createDataFrame(rows, "ticker string, date date, close_eur double").repartition(5)
+    got = {r.ticker: r for r in series_summary(prices, ["ticker"], "close_eur").collect()}
+    vol = {r.ticker: r for r in portfolio.volatility(portfolio.daily_returns(prices)).collect()}
+    dd = {r.ticker: r for r in portfolio.worst_drawdown(portfolio.running_drawdown(prices)).collect()}
+    for ticker, row in got.items():
+        if ticker in vol:
+            assert row.returns == vol[ticker].returns
+            assert abs(row.volatility - vol[ticker].volatility) < 1e-9
+        else:
+            assert row.returns is None and row.volatility is None
+        if ticker in dd:
+            assert abs(row.max_drawdown - dd[ticker].max_drawdown) < 1e-12
+            assert row.drawdown_date == dd[ticker].drawdown_date
+        else:
+            assert row.max_drawdown == 0.0 and row.drawdown_date is None
