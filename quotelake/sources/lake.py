@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,15 @@ from quotelake.sources.schemas import MART_FX_RATES, RAW_TABLES
 from quotelake.sources.storage import (
     MONTH,
     new_folder,
+    path_exists,
     read_optional,
     read_table,
     write_dated,
 )
 
+#: Folder of the markers of committed mart versions, below the marts' root.
+VERSIONS = "_versions"
+
 #: Date column and file clustering of the tables stored by month.
 DATED = {
     "etf_data": ("date", ["symbol_id", "date"]),
@@ -34,9 +41,33 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, marts_root: str | None = None):
         self.spark, self.root = spark, root
         self.marts_root = marts_root or root
-
-    def path(self, name: str) -> str:
-        return f"{self.marts_root if name.startswith('mart_') else self.root}/{name}"
+        self._version: str | None = None
+
+    def path(self, name: str, version: str | None = None) -> str:
+        if name.startswith("mart_"):
+            return f"{self.marts_root}/{version or self.version()}/{name}"
+        return f"{self.root}/{name}"
+
+    # versions of the marts ----------------------------------------------------
+
+    def _markers(self) -> str:
+        return f"{self.marts_root}/{VERSIONS}"
+
+    def version(self) -> str:
+        """The newest committed version of the marts, taken once by this lake (a session's reader
+        keeps it while others publish); ``none`` where nothing was published."""
+        if self._version is None:
+            found = None
+            if path_exists(self.spark, self._markers()):
+                found = self.spark.read.text(self._markers()).agg(F.max("value")).first()[0]
+            self._version = found or "none"
+        return self._version
+
+    def _commit(self, version: str) -> None:
+        """Publish a version: its marker is written after all its marts, as one small file."""
+        marker = self.spark.createDataFrame([(version,)], "value string").coalesce(1)
+        marker.write.mode("append").text(self._markers())
+        self._version = version
 
     def write(self, name: str, df: DataFrame) -> None:
         if name in DATED:
@@ -98,13 +129,28 @@ class Lake:
         )
 
     def publish(self) -> None:
-        """Write the four marts; the later ones read the stored price history,
-        so the EUR chain is computed once."""
-        self.write("mart_price_history", self.price_history())
-        newest = marts.latest_price(self.mart("mart_price_history"))
-        self.write("mart_52week_metrics", self.week52(newest))
-        self.write("mart_entry_thresholds", self.thresholds(newest))
-        self.write("mart_fx_rates", marts.fx_rates(self.staged_fx()))
+        """Write the four marts into a new version folder, then commit the version.
+
+        Readers see either all four new marts or all four old ones: a publish that fails
+        half way leaves no marker, and its folder is never read. The later marts read the
+        stored price history of the same version, so the EUR chain is computed once.
+        """
+        version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+        def write(name: str, df: DataFrame) -> None:
+            path = self.path(name, version)
+            if name in DATED:
+                write_dated(df, path, *DATED[name])
+            else:
+                df.write.mode("overwrite").parquet(path)
+
+        write("mart_price_history", self.price_history())
+        history = self.spark.read.parquet(self.path("mart_price_history", version))
+        newest = marts.latest_price(history)
+        write("mart_52week_metrics", self.week52(newest))
+        write("mart_entry_thresholds", self.thresholds(newest))
+        write("mart_fx_rates", marts.fx_rates(self.staged_fx()))
+        self._commit(version)
 
 
 def build_raw(spark: SparkSession, folder: str) -> Lake:
