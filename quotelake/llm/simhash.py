@@ -196,23 +196,61 @@ def links(distinct: DataFrame, most: int = MAX_BITS) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id of the group) of every document. Null ids take part in
-    groups but name one only where no other id is there. An empty table gives an empty result."""
-    fps = stored(fingerprints(docs, words), "simhash")
+def _component_of(fps: DataFrame, most: int) -> DataFrame:
+    """(own, component_id): every distinct fingerprint with the smallest doc_id linked to it."""
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), most))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, rooted.root == least.of).select(F.col("fp").alias("own"), "component_id")
+    return rooted.join(least, rooted.root == least.of).select(F.col("fp").alias("own"), "component_id")
+
+
+def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id of the group) of every document. Null ids take part in
+    groups but name one only where no other id is there. An empty table gives an empty result."""
+    fps = stored(fingerprints(docs, words), "simhash")
+    named = _component_of(fps, most)
     return fps.join(named, fps.fp == named.own).select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """Documents whose id is the smallest of their near-duplicate group, each once; null ids stay only
-    in groups without any other."""
-    chosen = near_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = chosen.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids["__id"]), "left_semi")
+def _fresh(df: DataFrame, base: str) -> str:
+    name = base
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
+def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
+    """One row of each near-duplicate group stays, with all its columns.
+
+    The row kept has the group's smallest id (its component_id); of several such rows (a repeated id
+    with other texts of the group, or repeated rows) the one with the least fingerprint, then the first
+    in the stored input. Null ids take part in groups; a null-id row stays only in a group without any
+    other id. Helper columns take names the input does not use. An empty table gives an empty result.
+    """
+    row = _fresh(docs, "__row")
+    placed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["row", "doc_id", "fp"]
+            )
+
+    fps = stored(
+        placed.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+        .mapInArrow(rows, "row long, doc_id long, fp long"),
+        "simhash-row-fps",
+    )
+    named = _component_of(fps.select("doc_id", "fp"), most)
+    chosen = (
+        fps.join(named, fps.fp == named.own)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component_id")
+        .agg(F.min(F.struct("fp", "row")).alias("pick"))
+        .select(F.col("pick.row").alias(row))
+    )
+    return placed.join(chosen, row, "left_semi").drop(row)
