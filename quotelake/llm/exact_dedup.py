@@ -102,10 +102,11 @@ def exact_dedup(
     # the group's best row: most code points, then smallest id; nulls come last
     best = full.groupBy("__length", "__prefix", "__digest").agg(
         F.count(F.lit(1)).alias("__size"),
-        F.max(F.struct(F.col("__chars"), (-F.col("__id")).alias("__minus"))).alias("__best"),
+        F.min(F.struct((-F.col("__chars")).alias("__fewer"), F.col("__id").isNull().alias("__none"), F.col("__id").alias("__at")))
+        .alias("__best"),
     ).select(
         F.col("__digest").alias("__of"), "__size",
-        (-F.col("__best.__minus")).alias("__keep_id"), F.col("__best.__chars").alias("__most"),
+        F.col("__best.__at").alias("__keep_id"), (-F.col("__best.__fewer")).alias("__most"),
     )
     # rows of one document in one group: several only where rows are repeated
     same = Window.partitionBy("__digest", "__id").orderBy(F.desc("__chars"))
@@ -123,5 +124,12 @@ def exact_dedup(
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    return exact_dedup(docs, docs.columns).filter("__kept").select(*docs.columns)
+    """The documents that stay, with all their columns, whatever their names: the row travels as one
+    struct under a name that neither the input nor the helper columns use."""
+    payload = "document"
+    while payload in docs.columns:
+        payload += "_"
+    wrapped = docs.select(
+        F.col("doc_id"), F.col("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(payload)
+    )
+    return exact_dedup(wrapped, [payload]).filter("__kept").select(f"{payload}.*")
