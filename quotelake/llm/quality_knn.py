@@ -226,4 +226,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     if not len(model.labels):
         return docs
-    return scored(docs, model).filter(F.col("__score") >= ACCEPT).select(*docs.columns)
+    column = "__score"
+    while column in docs.columns:
+        column = "_" + column
+    return scored(docs, model, column).filter(F.col(column) >= ACCEPT).select(*(F.col(f"`{c}`") for c in docs.columns))
