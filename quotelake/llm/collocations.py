@@ -15,8 +15,11 @@ overlaps are assigned once and counts are exact.
 
 **Counting by levels.** A phrase occurring ``MIN_COUNT`` times has every part at least as often, so
 level m counts only m-word phrases whose first and last m - 1 words are frequent (a semi join,
-broadcast while the frequent set is below ``BROADCAST_BYTES``, shuffled beyond it). Counts stay
-exact for every phrase that can reach ``MIN_COUNT``.
+broadcast while the frequent set is below ``BROADCAST_BYTES``, shuffled beyond it). Levels count
+64-bit hashes of word slices, which need no strings; a hash's count is at least that of every phrase
+behind it, so the surviving hashes hold every phrase that can reach ``MIN_COUNT``. One last pass
+builds the phrases of surviving hashes and counts them exactly, so counts stay exact even where two
+phrases share a hash.
 
 **Scores.** A candidate has 2 to 5 words and a = f(phrase) >= 100. Cutting after its first k words
 gives l and r, the counts of both parts, and score floor(1000 a n / (l r)) in exact decimal
@@ -103,56 +106,73 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     )
 
 
-def _grams(m: int) -> Column:
-    """Array of (phrase, head, tail) of the m-word phrases that start in a chunk's own words."""
-    w = F.col("words")
-    last = F.least(F.col("own"), F.size(w) - m + 1)
-    places = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        places,
-        lambda i: F.struct(
-            F.array_join(F.slice(w, i + 1, m), " ").alias("phrase"),
-            F.array_join(F.slice(w, i + 1, m - 1), " ").alias("head"),
-            F.array_join(F.slice(w, i + 2, m - 1), " ").alias("tail"),
-        ),
-    )
+def _places(m: int) -> Column:
+    """Places of the m-word phrases that start in a chunk's own words."""
+    last = F.least(F.col("own"), F.size("words") - m + 1)
+    return F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+
 
+def _key(i: Column, m: int) -> Column:
+    """64-bit hash of the m words from place i: no string is built for it."""
+    return F.xxhash64(F.slice(F.col("words"), i + 1, m))
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    planned = df.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 32)).first()[0] or 0
+
+def _maybe_broadcast(df: DataFrame, width: int = 48) -> DataFrame:
+    planned = df.count() * width
     return F.broadcast(df) if planned <= BROADCAST_BYTES else df
 
 
+def _hash_level(dictionary: DataFrame, m: int, frequent: DataFrame | None) -> DataFrame:
+    """(lang, h) of m-word hashes counted at least ``MIN_COUNT`` times, counting only phrases whose
+    first and last m - 1 words hash into ``frequent``. A hash count is at least the count of each
+    phrase behind it, so no phrase that reaches ``MIN_COUNT`` is lost."""
+    grams = dictionary.select(
+        "lang", "freq",
+        F.explode(F.transform(_places(m), lambda i: F.struct(
+            _key(i, m).alias("h"), _key(i, m - 1).alias("hh"), _key(i + 1, m - 1).alias("th")
+        ) if m > 1 else F.struct(_key(i, 1).alias("h")))).alias("g"),
+    ).select("lang", "freq", "g.*")
+    if frequent is not None:
+        known = _maybe_broadcast(frequent)
+        heads = known.select(F.col("lang").alias("h_lang"), F.col("h").alias("h_key"))
+        tails = known.select(F.col("lang").alias("t_lang"), F.col("h").alias("t_key"))
+        grams = grams.join(
+            heads, (F.col("lang") == F.col("h_lang")) & (F.col("hh") == F.col("h_key")), "left_semi"
+        ).join(tails, (F.col("lang") == F.col("t_lang")) & (F.col("th") == F.col("t_key")), "left_semi")
+    return grams.groupBy("lang", "h").agg(F.sum("freq").alias("f")).where(F.col("f") >= MIN_COUNT).select("lang", "h")
+
+
 def phrase_counts(dictionary: DataFrame) -> DataFrame:
-    """(lang, phrase, m, f) of every phrase of 1 to ``LONGEST`` words with f >= ``MIN_COUNT``."""
-    words = dictionary.select(
-        "lang", "freq", F.explode(F.slice("words", 1, F.col("own"))).alias("phrase")
-    )
-    level = stored(
-        words.groupBy("lang", "phrase").agg(F.sum("freq").alias("f")).where(F.col("f") >= MIN_COUNT),
-        "collocations-level-1",
+    """(lang, phrase, m, f) of every phrase of 1 to ``LONGEST`` words with f >= ``MIN_COUNT``.
+
+    Levels count 64-bit hashes of word slices; a final pass builds the phrases of surviving hashes
+    only and counts them exactly, so a hash shared by two phrases never merges their counts.
+    """
+    levels, frequent = [], None
+    for m in range(1, LONGEST + 1):
+        frequent = stored(_hash_level(dictionary, m, frequent), f"collocations-hashes-{m}")
+        levels.append(frequent.withColumn("m", F.lit(m)))
+    known = levels[0]
+    for more in levels[1:]:
+        known = known.unionByName(more)
+    known = _maybe_broadcast(known.select(F.col("lang").alias("k_lang"), F.col("m").alias("k_m"), F.col("h").alias("k_h")))
+    # phrases are built inside the row's own array function, so no row carries the chunk's words
+    every = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(LONGEST)),
+        lambda m: F.transform(
+            F.filter(F.sequence(F.lit(0), F.col("own") - 1), lambda i: i + m <= F.size("words")),
+            lambda i: F.struct(
+                m.alias("m"), F.xxhash64(F.slice(F.col("words"), i + 1, m)).alias("h"),
+                F.array_join(F.slice(F.col("words"), i + 1, m), " ").alias("phrase"),
+            ),
+        ),
+    ))
+    places = dictionary.where(F.col("own") > 0).select("lang", "freq", F.explode(every).alias("g"))
+    exact = places.select("lang", "freq", "g.*").join(
+        known, (F.col("lang") == F.col("k_lang")) & (F.col("m") == F.col("k_m")) & (F.col("h") == F.col("k_h")),
+        "left_semi",
     )
-    found = [level.withColumn("m", F.lit(1))]
-    for m in range(2, LONGEST + 1):
-        frequent = _maybe_broadcast(level.select("lang", "phrase"))
-        grams = dictionary.select("lang", "freq", F.explode(_grams(m)).alias("g")).select(
-            "lang", "freq", "g.phrase", "g.head", "g.tail"
-        )
-        heads = frequent.select(F.col("lang").alias("h_lang"), F.col("phrase").alias("h_phrase"))
-        tails = frequent.select(F.col("lang").alias("t_lang"), F.col("phrase").alias("t_phrase"))
-        kept = (
-            grams.join(heads, (F.col("lang") == F.col("h_lang")) & (F.col("head") == F.col("h_phrase")), "left_semi")
-            .join(tails, (F.col("lang") == F.col("t_lang")) & (F.col("tail") == F.col("t_phrase")), "left_semi")
-        )
-        level = stored(
-            kept.groupBy("lang", "phrase").agg(F.sum("freq").alias("f")).where(F.col("f") >= MIN_COUNT),
-            f"collocations-level-{m}",
-        )
-        found.append(level.withColumn("m", F.lit(m)))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return exact.groupBy("lang", "phrase", "m").agg(F.sum("freq").alias("f")).where(F.col("f") >= MIN_COUNT)
 
 
 def with_exact_score(df: DataFrame, a: str = "a", n: str = "n", l: str = "l", r: str = "r") -> DataFrame:
@@ -176,7 +196,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("freq") * F.col("own")).alias("n"))
     counts = stored(phrase_counts(dictionary), "collocations-counts")
     cands = counts.where(F.col("m").between(SHORTEST, LONGEST)).withColumn("ws", F.split("phrase", " "))
-    parts = _maybe_broadcast(counts.select("lang", "phrase", "f"))
+    parts = _maybe_broadcast(counts.select("lang", "phrase", "f"), 96)
     cuts = cands.select(
         "lang", "phrase", "m", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k"), "ws"
     ).select(
