@@ -73,7 +73,7 @@ def pieces(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
 
 def _window_hash(words: Column, i: Column) -> Column:
-    return F.xxhash64(F.array_join(F.slice(words, i + 1, WINDOW), " "))
+    return F.xxhash64(F.slice(words, i + 1, WINDOW))
 
 
 def chunk_dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
