@@ -861,6 +861,13 @@ QUERIES = {
     "validate_symbols": "SELECT *, errors = '' AS is_valid FROM checked_file",
     "dq_duplicates": "SELECT * FROM file_values",
     "dq_batch": _report("etf_data"),
+    "dq_no_data": f"""
+      SELECT * FROM ({_report('(SELECT symbol_id, date, open, high, low, close, volume FROM landed QUALIFY row_number() OVER (PARTITION BY symbol_id, date ORDER BY seq DESC) = 1)')})
+      UNION ALL BY NAME
+      SELECT id AS symbol_id, 0 AS bars, {", ".join(f"0 AS missing_{c}" for c in [*PRICES, "volume"])},
+             {", ".join(f"0 AS negative_{c}" for c in PRICES)}, 0 AS extreme_moves, 0 AS zero_volume_bars,
+             'No data received' AS issues, false AS is_valid
+      FROM symbols WHERE is_active AND id NOT IN (SELECT symbol_id FROM landed)""",
     "dq_not_null": " UNION ALL ".join(
         part
         for (table, source), columns in _NOT_NULL.items()

@@ -24,6 +24,7 @@ from quotelake.operators import (
     state,
 )
 from quotelake.operators.metrics import entry_levels, metrics_52week, newest_date
+from quotelake.operators.latest import latest_per_key
 from quotelake.operators.upsert import update_by_key
 from quotelake.plans import documents, marts, staging
 from quotelake.plans.refresh import copy_lake
@@ -618,6 +619,18 @@ def dq_batch(spark, folder):
     return report.withColumn("issues", F.concat_ws("; ", "issues"))
 
 
+@query
+def dq_no_data(spark, folder):
+    """Gate of the newest landed batch (last version of each day) against the active
+    symbols: an active symbol without landed bars is reported with no data received."""
+    landed = derive.new_batch(_bars(spark, folder))
+    values = [c for c in landed.columns if c not in ("symbol_id", "date")]
+    single = latest_per_key(landed, ["symbol_id", "date"], "seq", values, order_is_unique=False).drop("seq")
+    expected = _symbols(spark, folder).filter("is_active").select(F.col("id").alias("symbol_id"))
+    report = quality.batch_report(single, expected)
+    return report.withColumn("issues", F.concat_ws("; ", "issues"))
+
+
 def _raw_tables(spark, folder):
     lake = lake_for(spark, folder)
     return {

@@ -22,6 +22,7 @@ MISSING_MESSAGE = "Missing {n} values in {column}"
 NEGATIVE_MESSAGE = "Found {n} negative prices in {column}"
 EXTREME_MESSAGE = "Found {n} extreme price movements (>50%)"
 ZERO_VOLUME_MESSAGE = "High number of zero volume days: {n}"
+EMPTY_MESSAGE = "No data received"
 
 # Columns that must not be null or must not repeat, by table; the
 # declared tests of raw, staged and published tables and the keys of the raw ones.
@@ -173,9 +174,10 @@ def _issue(
     return F.when(~fine, text)
 
 
-def batch_report(bars: DataFrame) -> DataFrame:
+def batch_report(bars: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Gate of landed bars, one row per symbol with its issues; any issue fails
-    the symbol's batch."""
+    the symbol's batch. Symbols of ``expected`` (a ``symbol_id`` column) without
+    any landed bar get a row of zero counts and the issue that no data came."""
     compared = with_previous(bars, ["symbol_id"], "close", "_previous")
     move = F.abs(ratio(F.col("close"), F.col("_previous")) - 1)
     jumped = (move > EXTREME_MOVE) | (
@@ -203,9 +205,19 @@ def batch_report(bars: DataFrame) -> DataFrame:
             ),
         )
     )
-    return counted.withColumn("issues", issues).withColumn(
+    report = counted.withColumn("issues", issues).withColumn(
         "is_valid", F.size("issues") == 0
     )
+    if expected is None:
+        return report
+    absent = expected.select("symbol_id").distinct().join(bars.select("symbol_id"), "symbol_id", "left_anti")
+    empty = absent.select(
+        "symbol_id",
+        *(F.lit(0).cast(field.dataType).alias(field.name) for field in counted.schema.fields[1:]),
+        F.array(F.lit(EMPTY_MESSAGE)).alias("issues"),
+        F.lit(False).alias("is_valid"),
+    )
+    return report.unionByName(empty)
 
 
 def accepted(bars: DataFrame, report: DataFrame) -> DataFrame:

@@ -188,3 +188,18 @@ def test_repeated_change_adds_no_rows(spark):
     current = spark.createDataFrame([(1, 5.0), (2, 6.0)], "k long, v double")
     changes = spark.createDataFrame([(1, 7.0), (1, 8.0)], "k long, v double")
     assert sorted(map(tuple, update_by_key(current, changes, ["k"], ["v"]).collect())) == [(1, 8.0), (2, 6.0)]
+
+
+def test_expected_symbol_without_bars_reports_no_data(spark):
+    from datetime import date
+
+    from quotelake.operators import quality
+
+    bars = spark.createDataFrame(
+        [(1, date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 10)],
+        "symbol_id long, date date, open double, high double, low double, close double, volume long",
+    )
+    expected = spark.createDataFrame([(1,), (2,), (2,)], "symbol_id long")
+    rows = {r.symbol_id: r for r in quality.batch_report(bars, expected).collect()}
+    assert rows[1].is_valid and rows[1].bars == 1
+    assert rows[2].issues == ["No data received"] and not rows[2].is_valid and rows[2].bars == 0
