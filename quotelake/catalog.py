@@ -336,7 +336,7 @@ def int_prices_eur(spark, folder):
 
 @query
 def mart_price_history(spark, folder):
-    return lake_for(spark, folder).price_history()
+    return reports.shown(lake_for(spark, folder).price_history(), "mart_price_history")
 
 
 @query
