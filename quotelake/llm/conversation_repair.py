@@ -17,17 +17,19 @@ equal turns have a defined order; a row's role initial is its first character.
 
 Defined cases: null role or text count as one space; a null conversation id is a conversation of
 its own; an empty input gives no rows; a conversation without rows (after damage) gets zero counts,
-an empty audit and the hash of the empty string. Each conversation is one group of ``applyInPandas``,
-since its repaired text is hashed in order; the rows of one conversation must fit one task.
+an empty audit and the hash of the empty string. Rows are dealt by conversation and sorted within each
+task, which streams conversations one by one (``mapInArrow``); a conversation's repaired text is hashed
+in order, so the rows of one conversation must fit one task.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,23 +64,26 @@ def faults(rows: list[tuple[str, str]]) -> list[int]:
     return out
 
 
-def _row_options(state: int, role: str, fault: int):
-    """(initial, cost, next state, new role) of edits that consume the row, in ASCII order."""
-    yield "D", DELETE, state, None
+@functools.lru_cache(maxsize=4096)
+def _row_options(state: int, role: str, fault: int) -> tuple:
+    """(initial, cost, next state, new role) of edits that consume the row, in ASCII order.
+    Roles repeat, so the options are kept per (state, role, fault)."""
+    found = [("D", DELETE, state, None)]
     if fault in (1, 2):
-        return
+        return tuple(found)
     extra = TRUNCATED if fault == 3 else 0
     moved = _MOVES[state].get(role[:1])
     if moved is not None:
-        yield "K", KEEP + extra, moved, role
+        found.append(("K", KEEP + extra, moved, role))
     need = _NEEDS[state]
     if role != need:
-        yield "R", REROLE + extra, _MOVES[state][need[0]], need
+        found.append(("R", REROLE + extra, _MOVES[state][need[0]], need))
+    return tuple(found)
 
 
 def _options(i, state, roles, codes, texts):
     """Every edit at (row i, state) in ASCII order of its initial: (initial, cost, next, output row)."""
-    consumed = list(_row_options(state, roles[i], codes[i])) if i < len(roles) else []
+    consumed = _row_options(state, roles[i], codes[i]) if i < len(roles) else ()
     for initial, cost, nxt, role in consumed[:1]:
         yield initial, cost, nxt, None
     yield "I", INSERT, _insert(state), (_NEEDS[state], "")
@@ -145,30 +150,52 @@ def repair(roles: list[str], texts: list[str]) -> tuple[float, str, list[tuple[s
     return checkpoints[0][0], "".join(audit), out
 
 
-def _conversation(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    rows = sorted(zip(pdf["has_turn"], pdf["turn_value"], pdf["role"], pdf["text"]))
-    roles = [r[2] for r in rows]
-    texts = [r[3] for r in rows]
+def _summary(conv_id, turns: list, roles: list[str], texts: list[str]) -> dict:
+    """Result row of one conversation from its rows in order (``turns``: the non-null turns)."""
     codes = faults(list(zip(roles, texts)))
     initials = [r[:1] for r in roles]
     illegal = sum(1 for a, b in zip(initials, initials[1:]) if a + b not in ("su", "ua", "au"))
-    turns = {int(t) for has, t in zip(pdf["has_turn"], pdf["turn_value"]) if has}
-    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    distinct = set(turns)
+    gaps = max(distinct) - min(distinct) + 1 - len(distinct) if distinct else 0
     cost, audit, out = repair(roles, texts)
     digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode("utf-8")).hexdigest()
-    return pd.DataFrame(
-        {
-            "conv_id": [None if pd.isna(key[0]) else int(key[0])], "gaps": [gaps], "blank": [codes.count(1)], "duplicate": [codes.count(2)],
-            "truncated": [codes.count(3)], "illegal": [illegal], "cost": [int(cost)], "audit": [audit],
-            "repaired_sha256": [digest], "n_rows": [len(rows)],
-        }
-    )
+    return {
+        "conv_id": conv_id, "gaps": gaps, "blank": codes.count(1), "duplicate": codes.count(2),
+        "truncated": codes.count(3), "illegal": illegal, "cost": int(cost), "audit": audit,
+        "repaired_sha256": digest, "n_rows": len(roles),
+    }
+
+
+def _stream(batches):
+    """Rows sorted by conversation and order within a partition -> one result row per conversation.
+    Only the conversation at hand is held; it may continue into the next batch."""
+    started, current, turns, roles, texts = False, None, [], [], []
+    for batch in batches:
+        out = []
+        columns = [batch.column(n).to_pylist() for n in ("conv_id", "has_turn", "turn_value", "role", "text")]
+        for conv_id, has, turn, role, text in zip(*columns):
+            if started and conv_id != current:
+                out.append(_summary(current, turns, roles, texts))
+                turns, roles, texts = [], [], []
+            started, current = True, conv_id
+            if has:
+                turns.append(turn)
+            roles.append(role)
+            texts.append(text)
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+    if started:
+        yield pa.RecordBatch.from_pylist([_summary(current, turns, roles, texts)], schema=_ARROW)
 
 
 RESULT = (
     "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, "
     "audit string, repaired_sha256 string, n_rows long"
 )
+_ARROW = pa.schema(
+    [(n, pa.int64()) for n in ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    + [("audit", pa.string()), ("repaired_sha256", pa.string()), ("n_rows", pa.int64())]
+)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
@@ -204,7 +231,11 @@ def damaged(conversations: DataFrame) -> DataFrame:
 def repair_conversations(conversations: DataFrame) -> DataFrame:
     """One row per conversation id of the input (dropped ones too), from its damaged rows."""
     rows = damaged(conversations)
-    repaired = rows.drop("turn").groupBy("conv_id").applyInPandas(_conversation, RESULT)
+    # one conversation's rows meet in one task, in order; a task streams its conversations one by one
+    ordered = rows.drop("turn").repartition("conv_id").sortWithinPartitions(
+        F.col("conv_id").asc_nulls_first(), "has_turn", "turn_value", "role", "text"
+    )
+    repaired = ordered.mapInArrow(_stream, RESULT)
     ids = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
     empty = hashlib.sha256(b"").hexdigest()
     zero = F.lit(0).cast("long")
