@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quotelake.functions.currency import BASE_CURRENCY, convert
 from quotelake.functions.numeric import round2
 from quotelake.operators.latest import latest_per_key
-from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
+from quotelake.operators.sizing import RATE_BYTES, SYMBOL_BYTES, broadcast_if_small, is_small
 from quotelake.sources.schemas import EUR_COLUMNS, PRICE_COLUMNS
 from quotelake.sources.storage import in_dates
 
@@ -137,19 +137,31 @@ def convert_columns(
     return joined.withColumns(converted).drop("source_rate")
 
 
-def _with_day_rate(bars: DataFrame, symbols: DataFrame, rates: DataFrame) -> DataFrame:
-    """Bars plus their symbol's ``is_active`` and ``_currency`` and the stored
-    EUR rate of the bar's own day."""
-    owners = symbols.select(
+def _owners(symbols: DataFrame) -> DataFrame:
+    return symbols.select(
         F.col("id").alias("symbol_id"), F.col("currency").alias("_currency"), "is_active"
     )
-    days = rates.filter(F.col("to_currency") == BASE_CURRENCY).select(
+
+
+def _day_rates(rates: DataFrame) -> DataFrame:
+    return rates.filter(F.col("to_currency") == BASE_CURRENCY).select(
         F.col("from_currency").alias("_currency"),
         F.col("rate_date").alias("date"),
         F.col("exchange_rate").alias("_rate"),
     )
-    return bars.join(broadcast_if_small(owners), "symbol_id", "left").join(
-        broadcast_if_small(days, RATE_BYTES), ["_currency", "date"], "left"
+
+
+def keeps_layout(symbols: DataFrame, rates: DataFrame) -> bool:
+    """Whether a conversion leaves its bars where and in the order they are: both
+    sides are broadcast."""
+    return is_small(_owners(symbols), SYMBOL_BYTES) and is_small(_day_rates(rates), RATE_BYTES)
+
+
+def _with_day_rate(bars: DataFrame, symbols: DataFrame, rates: DataFrame) -> DataFrame:
+    """Bars plus their symbol's ``is_active`` and ``_currency`` and the stored
+    EUR rate of the bar's own day."""
+    return bars.join(broadcast_if_small(_owners(symbols), SYMBOL_BYTES), "symbol_id", "left").join(
+        broadcast_if_small(_day_rates(rates), RATE_BYTES), ["_currency", "date"], "left"
     )
 
 

@@ -10,7 +10,7 @@ from quotelake.functions.numeric import pct, round2
 from quotelake.operators.fx import latest_rates
 from quotelake.operators.latest import latest_per_key
 from quotelake.operators.metrics import unpivot_levels
-from quotelake.operators.sizing import RATE_BYTES, broadcast_if_small
+from quotelake.operators.sizing import RATE_BYTES, SYMBOL_BYTES, broadcast_if_small
 from quotelake.plans.staging import SYMBOL_COLUMNS, described_symbols
 from quotelake.sources.schemas import EUR_COLUMNS, LEVELS, PRICE_COLUMNS
 
@@ -115,7 +115,7 @@ def latest_price(history: DataFrame) -> DataFrame:
 def _with_symbol_and_price(
     per_symbol: DataFrame, symbols: DataFrame, newest: DataFrame
 ) -> DataFrame:
-    described = broadcast_if_small(described_symbols(symbols))
+    described = broadcast_if_small(described_symbols(symbols), SYMBOL_BYTES)
     return per_symbol.join(described, "symbol_id").join(newest, "ticker", "left")
 
 

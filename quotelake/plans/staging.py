@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import SYMBOL_BYTES, broadcast_if_small
 from quotelake.sources.schemas import EUR_COLUMNS, PRICE_COLUMNS
 
 SYMBOL_COLUMNS = ("ticker", "etf_name", "isin", "exchange", "native_currency")
@@ -30,7 +30,7 @@ def described_symbols(symbols: DataFrame) -> DataFrame:
 
 def stage_prices(bars: DataFrame, symbols: DataFrame) -> DataFrame:
     """Bars of active symbols with the symbol's description."""
-    sides = broadcast_if_small(described_symbols(symbols))
+    sides = broadcast_if_small(described_symbols(symbols), SYMBOL_BYTES)
     return bars.join(sides, "symbol_id").select(
         "id",
         "symbol_id",

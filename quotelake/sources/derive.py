@@ -13,6 +13,7 @@ from quotelake.functions.numeric import exact_sum, round_to
 from quotelake.operators.fx import convert_batch
 from quotelake.operators.metrics import entry_levels, metrics_52week, newest_date
 from quotelake.sources.schemas import EUR_COLUMNS
+from quotelake.sources.storage import MONTH, clustered
 
 # Currency per sales region, investor country per nation key % 4.
 REGION_CURRENCY = {"EUROPE": "EUR", "ASIA": "GBP", "MIDDLE EAST": "CHF"}
@@ -99,22 +100,28 @@ def currency_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Open, high, low, close and volume per supplier and day."""
+    """Open, high, low, close and volume per supplier and day, with the month.
+
+    A supplier has hardly two trades a day, so combining them before the shuffle saves
+    nothing, and the first and last trade by a struct order make it sort every input
+    split. The trades are therefore moved once, as they are, into the layout the bars
+    are stored in, and aggregated there in its order (supplier is constant in a group)."""
     trade_order = F.struct(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"
+    )
+    price = F.lit(60.0) + F.col("l_extendedprice") / F.lit(2000.0)
+    trades = read(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("symbol_id"),
+        F.to_date("l_shipdate").alias("date"),
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        "l_suppkey",
         "l_extendedprice",
         "l_quantity",
     )
-    price = F.lit(60.0) + F.col("l_extendedprice") / F.lit(2000.0)
     return (
-        read(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_suppkey").alias("symbol_id"),
-            F.to_date("l_shipdate").alias("date"),
-        )
+        clustered(trades, "date", ["symbol_id", "date"])
+        .groupBy(MONTH, "symbol_id", "date")
         .agg(
             F.min_by(price, trade_order).alias("open"),
             F.max(price).alias("high"),
@@ -128,7 +135,7 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
 def etf_data(
     spark: SparkSession, folder: str, symbols: DataFrame, rates: DataFrame
 ) -> DataFrame:
-    """Bars as loaded: EUR prices are present on every third day of the month."""
+    """Bars as loaded, with their month: EUR prices are present on every third day of it."""
     converted = convert_batch(bars(spark, folder), symbols, rates, fill_base=False)
     loaded = F.dayofmonth("date") % 3 == 0
     kept = {c: F.when(loaded, F.col(c)) for c in EUR_COLUMNS}
@@ -162,27 +169,34 @@ def thresholds(metrics: DataFrame) -> DataFrame:
 
 
 def holdings(spark: SparkSession, folder: str) -> DataFrame:
-    """Units and cost per customer and symbol, with the customer's country."""
+    """Units and cost per customer and symbol, with the customer's country.
+
+    The countries of a customer (one text, a repeated customer has several) are attached
+    to the orders, so the far more numerous holdings need no shuffle of their own for them."""
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lines = read(spark, folder, "lineitem")
     key = F.col("c_nationkey") % 4
     country = F.element_at(F.array(*map(F.lit, COUNTRIES)), (key + 1).cast("int"))
-    owners = read(spark, folder, "customer").select(
-        F.col("c_custkey").alias("holder"), country.alias("country")
+    owners = (
+        read(spark, folder, "customer")
+        .groupBy(F.col("c_custkey").alias("holder"))
+        .agg(F.array_join(F.collect_list(F.coalesce(country, F.lit(""))), "|").alias("_countries"))
     )
+    buyers = orders.join(owners, F.col("o_custkey") == F.col("holder")).drop("o_custkey")
     paid = F.col("l_quantity") * (
         F.lit(60.0) + F.col("l_extendedprice") / F.lit(2000.0)
     )
     grouped = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .groupBy(F.col("o_custkey").alias("holder"), F.col("l_suppkey").alias("symbol_id"))
+        lines.join(buyers, lines.l_orderkey == buyers.o_orderkey)
+        .groupBy("holder", F.col("l_suppkey").alias("symbol_id"), "_countries")
         .agg(
             F.sum("l_quantity").cast("long").alias("units"),
             exact_sum(paid).alias("cost"),
         )
     )
-    return grouped.join(owners, "holder").select(
-        "holder", "symbol_id", "country", "units", "cost"
+    each = F.explode(F.split("_countries", "[|]")).alias("country")
+    return grouped.select("holder", "symbol_id", each, "units", "cost").withColumn(
+        "country", F.nullif("country", F.lit(""))
     )
 
 

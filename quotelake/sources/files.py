@@ -46,14 +46,14 @@ def _bucket(ticker: Column) -> Column:
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """JSON lines in hashed folders. Range partitioning on (folder, ticker)
+    """Compressed JSON lines in hashed folders. Range partitioning on (folder, ticker)
     splits a large folder over tasks."""
     (
         documents.withColumn("bucket", _bucket(F.col("symbol.ticker")))
         .repartitionByRange("bucket", "symbol.ticker")
         .write.mode("overwrite")
         .partitionBy("bucket")
-        .json(path)
+        .json(path, compression="gzip")
     )
 
 

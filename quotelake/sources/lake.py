@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.operators import state
+from quotelake.operators.fx import keeps_layout
 from quotelake.plans import marts, staging
 from quotelake.session import configure
 from quotelake.sources import derive
@@ -35,6 +37,9 @@ DATED = {
 }
 
 
+_PENDING: dict[str, dict[str, Callable[[], None]]] = {}
+
+
 class Lake:
     """Raw tables below one root folder, marts below the same or another."""
 
@@ -43,9 +48,26 @@ class Lake:
         self.marts_root = marts_root or root
         self._version: str | None = None
 
+    @property
+    def pending(self) -> dict[str, Callable[[], None]]:
+        """Steps that build raw tables not stored yet. A table's first reader runs its step,
+        through whichever ``Lake`` over this root."""
+        return _PENDING.setdefault(self.root, {})
+
+    def _build(self, name: str) -> None:
+        step = self.pending.pop(name, None)
+        if step is None:
+            return
+        try:
+            step()
+        except BaseException:
+            self.pending[name] = step
+            raise
+
     def path(self, name: str, version: str | None = None) -> str:
         if name.startswith("mart_"):
             return f"{self.marts_root}/{version or self.version()}/{name}"
+        self._build(name)
         return f"{self.root}/{name}"
 
     # versions of the marts ----------------------------------------------------
@@ -69,9 +91,9 @@ class Lake:
         marker.write.mode("append").text(self._markers())
         self._version = version
 
-    def write(self, name: str, df: DataFrame) -> None:
+    def write(self, name: str, df: DataFrame, in_layout: bool = False) -> None:
         if name in DATED:
-            write_dated(df, self.path(name), *DATED[name])
+            write_dated(df, self.path(name), *DATED[name], in_layout=in_layout)
         else:
             df.write.mode("overwrite").parquet(self.path(name))
 
@@ -153,18 +175,39 @@ class Lake:
         self._commit(version)
 
 
-def build_raw(spark: SparkSession, folder: str) -> Lake:
-    """Fold the trading tables of ``folder`` into a new lake's raw tables."""
+def raw_lake(spark: SparkSession, folder: str) -> Lake:
+    """A new lake whose raw tables are folded from the trading tables of ``folder``, each
+    when it is first read: a report on bars does not wait for the holdings."""
     lake = Lake(spark, new_folder(spark, "lake"))
-    lake.write("symbols", derive.symbols(spark, folder))
-    lake.write("currency_rates", derive.currency_rates(spark, folder))
-    symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
-    lake.write("etf_data", derive.etf_data(spark, folder, symbols, rates))
-    lake.write("symbol_state", state.month_state(lake.raw("etf_data")))
-    lake.write("fifty_two_week_metrics", derive.metrics(lake.raw("etf_data")))
-    stored = lake.raw("fifty_two_week_metrics").drop(MONTH)
-    lake.write("decrease_thresholds", derive.thresholds(stored))
-    lake.write("holdings", derive.holdings(spark, folder))
+
+    def bars() -> None:
+        symbols, rates = lake.raw("symbols"), lake.raw("currency_rates")
+        found = derive.etf_data(spark, folder, symbols, rates)
+        lake.write("etf_data", found, in_layout=keeps_layout(symbols, rates))
+
+    def thresholds() -> None:
+        stored = lake.raw("fifty_two_week_metrics").drop(MONTH)
+        lake.write("decrease_thresholds", derive.thresholds(stored))
+
+    lake.pending.update({
+        "symbols": lambda: lake.write("symbols", derive.symbols(spark, folder)),
+        "currency_rates": lambda: lake.write("currency_rates", derive.currency_rates(spark, folder)),
+        "etf_data": bars,
+        "symbol_state": lambda: lake.write("symbol_state", state.month_state(lake.raw("etf_data"))),
+        "fifty_two_week_metrics": lambda: lake.write(
+            "fifty_two_week_metrics", derive.metrics(lake.raw("etf_data"))
+        ),
+        "decrease_thresholds": thresholds,
+        "holdings": lambda: lake.write("holdings", derive.holdings(spark, folder)),
+    })
+    return lake
+
+
+def build_raw(spark: SparkSession, folder: str) -> Lake:
+    """Fold the trading tables of ``folder`` into all raw tables of a new lake."""
+    lake = raw_lake(spark, folder)
+    for name in list(lake.pending):
+        lake.path(name)
     return lake
 
 
@@ -173,11 +216,11 @@ _PUBLISHED: set[str] = set()
 
 
 def lake_for(spark: SparkSession, folder: str, published: bool = False) -> Lake:
-    """The session's lake for a data folder, built (and published) on first use."""
+    """The session's lake for a data folder, its tables built (and published) on first use."""
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     if key not in _LAKES:
         configure(spark)
-        _LAKES[key] = build_raw(spark, folder)
+        _LAKES[key] = raw_lake(spark, folder)
     lake = _LAKES[key]
     if published and lake.root not in _PUBLISHED:
         lake.publish()

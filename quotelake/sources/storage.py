@@ -60,22 +60,31 @@ def settle(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clustered(df: DataFrame, date_column: str, cluster_by: list[str]) -> DataFrame:
+    """``df`` with its month, range partitioned on (month, keys): the layout of a dated
+    table. An aggregate on month and keys needs no further exchange and keeps it."""
+    return with_month(df, date_column).repartitionByRange(MONTH, *cluster_by)
+
+
 def write_dated(
     df: DataFrame,
     path: str,
     date_column: str,
     cluster_by: list[str],
     replace_all: bool = True,
+    in_layout: bool = False,
 ) -> None:
     """Write partitioned by month. Range partitioning on (month, keys) spreads a
     hot month or key over many tasks and leaves sorted files, so that row-group
-    statistics prune reads by key. With ``replace_all=False`` only the months
+    statistics prune reads by key. ``in_layout`` says that ``df`` is range partitioned
+    already, on (month, keys) or on the first key. With ``replace_all=False`` only the months
     present in ``df`` are replaced."""
-    order = [MONTH, *cluster_by]
+    if not in_layout:
+        df = clustered(df, date_column, cluster_by)
+    elif MONTH not in df.columns:
+        df = with_month(df, date_column)
     (
-        with_month(df, date_column)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.sortWithinPartitions(MONTH, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(MONTH)
