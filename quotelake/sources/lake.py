@@ -160,14 +160,14 @@ class Lake:
         version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
         def write(name: str, df: DataFrame) -> None:
-            path = self.path(name, version)
-            if name in DATED:
-                write_dated(df, path, *DATED[name])
-            else:
-                df.write.mode("overwrite").parquet(path)
-
-        write("mart_price_history", self.price_history())
-        history = self.spark.read.parquet(self.path("mart_price_history", version))
+            df.write.mode("overwrite").parquet(self.path(name, version))
+
+        # ranges of tickers serve the average's window and the files: one exchange, no
+        # second one by month; every task writes its tickers' rows of every month
+        ranged = marts.price_history(self.eur_prices().repartitionByRange("ticker"))
+        path = self.path("mart_price_history", version)
+        write_dated(ranged, path, *DATED["mart_price_history"], in_layout=True)
+        history = self.spark.read.parquet(path)
         newest = marts.latest_price(history)
         write("mart_52week_metrics", self.week52(newest))
         write("mart_entry_thresholds", self.thresholds(newest))

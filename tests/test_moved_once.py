@@ -5,8 +5,8 @@ from datetime import date, datetime
 
 import pytest
 
-from quotelake.sources import derive
-from quotelake.sources.lake import build_raw, raw_lake
+from quotelake.sources import derive, lake as lakes
+from quotelake.sources.lake import build_raw, lake_for, raw_lake
 
 LINES = [
     # order, part, supplier, line, quantity, price, day
@@ -106,3 +106,27 @@ def test_holdings_of_repeated_customers(spark, small_folder):
     plan = plan_of(found)
     # the holdings themselves join nothing any more
     assert plan.index("HashAggregate(keys=[holder") < plan.index("Join")
+
+
+def test_publish_moves_prices_once(spark, folder, monkeypatch):
+    source = lake_for(spark, folder)
+    target = lakes.Lake(spark, source.root, f"{source.root}/moved-once")
+    seen = {}
+    real = lakes.write_dated
+
+    def spy(df, path, *layout, **options):
+        seen[path.rsplit("/", 1)[1]] = (df, options)
+        real(df, path, *layout, **options)
+
+    monkeypatch.setattr(lakes, "write_dated", spy)
+    target.publish()
+    df, options = seen["mart_price_history"]
+    assert options == {"in_layout": True}
+    plan = plan_of(df)
+    assert plan.count("Exchange rangepartitioning(ticker") == 1
+    assert "Exchange hashpartitioning(ticker" not in plan
+    stored = target.mart("mart_price_history")
+    assert stored.select("month").distinct().count() > 80
+    plain = source.price_history()
+    assert stored.select(*plain.columns).exceptAll(plain).count() == 0
+    assert stored.count() == plain.count()
