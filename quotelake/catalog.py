@@ -25,6 +25,7 @@ from quotelake.operators import (
 )
 from quotelake.operators.metrics import entry_levels, metrics_52week, newest_date
 from quotelake.operators.latest import latest_per_key
+from quotelake.operators.sizing import SYMBOL_BYTES, broadcast_per_row
 from quotelake.operators.upsert import update_by_key
 from quotelake.plans import documents, marts, staging
 from quotelake.plans.refresh import copy_lake
@@ -969,6 +970,8 @@ def holdings_units(spark, folder):
 @query
 def portfolio_risk(spark, folder):
     risk = portfolio.symbol_risk(_history(spark, folder))
+    # two rows per symbol
+    risk = broadcast_per_row(risk, _symbols(spark, folder), SYMBOL_BYTES)
     found = portfolio.portfolio_risk(_priced(spark, folder), risk)
     return found.withColumns(
         {

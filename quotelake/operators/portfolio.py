@@ -10,8 +10,8 @@ from quotelake.functions.currency import BASE_CURRENCY, convert, country_currenc
 from quotelake.functions.numeric import exact_sum, ratio, round2
 from quotelake.operators.fx import rate_of, with_source_rate
 from quotelake.operators.series import carry_max, with_previous
-from quotelake.operators.sizing import broadcast_if_small
-from quotelake.operators.summary import series_summary
+from quotelake.operators.sizing import SYMBOL_BYTES, broadcast_if_small, broadcast_per_row
+from quotelake.operators.summary import series_summaries
 from quotelake.sources.storage import in_dates
 
 # Trading days per year, growth-rate limits and fallback, growth
@@ -178,8 +178,9 @@ def priced_holdings(
     """Holdings with the symbol's newest price and both sides' EUR rates.
 
     Symbol, price and rate are joined first, one row per symbol; the holdings
-    then join once. Beyond the broadcast bound that join shuffles on symbol_id
-    and adaptive execution splits a much-held symbol.
+    then join once. The bound is put to the symbols, of which each gives one row.
+    Beyond it that join shuffles on symbol_id and adaptive execution splits a
+    much-held symbol.
     """
     priced = symbols.select(
         F.col("id").alias("symbol_id"),
@@ -191,7 +192,8 @@ def priced_holdings(
         country_currency(F.col("country")) == BASE_CURRENCY,
         rate_of(rates, BASE_CURRENCY),
     ).otherwise(rate_of(rates, "USD"))
-    joined = holdings.join(broadcast_if_small(per_symbol), "symbol_id")
+    side = broadcast_per_row(per_symbol, symbols, SYMBOL_BYTES)
+    joined = holdings.join(side, "symbol_id")
     return joined.withColumn("target_rate", target)
 
 
@@ -243,19 +245,13 @@ def affordable_units(priced: DataFrame) -> DataFrame:
 
 def symbol_risk(prices: DataFrame) -> DataFrame:
     """Volatility and worst drawdown per ticker, of the EUR price (``in_eur``) and of
-    the native one. Both are series of their own within one scan of the prices, each
-    folded once per (ticker, year) by ``series_summary``."""
+    the native one, both summed up in one pass by ``series_summaries``."""
+    found = series_summaries(prices, ["ticker"], ["close_eur", "close"])
     both = F.array(
-        F.struct(F.lit(True).alias("in_eur"), F.col("close_eur")),
-        F.struct(F.lit(False).alias("in_eur"), F.col("close").alias("close_eur")),
-    )
-    series = prices.select("ticker", "date", F.inline(both)).select(
-        F.struct("ticker", "in_eur").alias("ticker"), "date", "close_eur"
-    )
-    found = series_summary(series, ["ticker"], "close_eur")
-    return found.select(
-        "ticker.ticker", "ticker.in_eur", *(c for c in found.columns if c != "ticker")
+        F.struct(F.lit(True).alias("in_eur"), F.col("close_eur").alias("_s")),
+        F.struct(F.lit(False).alias("in_eur"), F.col("close").alias("_s")),
     )
+    return found.select("ticker", F.inline(both)).select("ticker", "in_eur", "_s.*")
 
 
 def portfolio_risk(priced: DataFrame, risk: DataFrame) -> DataFrame:

@@ -1,12 +1,11 @@
-"""One associative summary of a price series: returns, volatility and worst drawdown in one fold.
+"""Summary of price series: returns, volatility and worst drawdown in one pass over the prices.
 
-The bars of a series are gathered once per (key, calendar year), an array bounded by the calendar
-(at most 366 points), so a key with a third of all rows spreads over as many tasks as it has years.
-What a year needs from the years before it, the peak so far and the last close, comes from a small
-aggregate per (key, year) and a window over those year rows; it is broadcast into the fold when
-small. One ``aggregate`` over the ordered points then gives the year's returns as Welford moments
-(count, mean, sum of squared deviations) and its worst fall below the running peak with the
-earliest date. Years combine associatively: the least (fall, date) and Chan's merge of moments.
+Rows are grouped by (key, calendar year), which the calendar bounds, so a key with a third of all
+rows spreads over as many tasks as it has years. What a year needs from the years before it, the peak
+so far and the last close, comes from a small aggregate per (key, year); it joins the year's rows as
+one more row at their head, so the prices are exchanged once. Windows over a year give each row its
+previous close and running peak; counts, moments and the least fall then combine in one aggregate
+per key.
 
 Semantics equal ``daily_returns``/``volatility`` and ``running_drawdown``/``worst_drawdown``: a
 return needs a positive previous close and a non-zero close (the previous bar counts even when its
@@ -21,76 +20,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotelake.operators.sizing import broadcast_if_small
-
 TRADING_DAYS = 252.0
 
-_ACC = (
-    "struct<peak: double, prev: double, fall: double, fall_date: date, n: bigint, mean: double, m2: double>"
-)
-
 
-def _step(acc: Column, x: Column) -> Column:
-    v, prev = x["v"], acc["prev"]
-    r = F.when((prev > 0) & v.isNotNull() & (v != 0), (v - prev) / prev)
-    n = acc["n"] + F.when(r.isNotNull(), 1).otherwise(0)
-    mean = F.when(r.isNotNull(), acc["mean"] + (r - acc["mean"]) / n).otherwise(acc["mean"])
-    m2 = F.when(r.isNotNull(), acc["m2"] + (r - acc["mean"]) * (r - mean)).otherwise(acc["m2"])
-    peak = F.when(v.isNotNull(), F.greatest(acc["peak"], v)).otherwise(acc["peak"])
-    fall = F.when(v.isNotNull(), (v - peak) / F.nullif(peak, F.lit(0.0)))
-    better = (fall < 0) & (acc["fall"].isNull() | (fall < acc["fall"]))
-    return F.struct(
-        peak.alias("peak"), v.alias("prev"),
-        F.when(better, fall).otherwise(acc["fall"]).alias("fall"),
-        F.when(better, x["d"]).otherwise(acc["fall_date"]).alias("fall_date"),
-        n.alias("n"), mean.alias("mean"), m2.alias("m2"),
-    )
+def _measures(value: str, keys: Sequence[str], order: str) -> tuple[Column, Column]:
+    """Daily return and (fall, date) of each row of a year, its head row included."""
+    rows = Window.partitionBy(*keys, "_year").orderBy(F.desc("_is_head"), order, value)
+    price, previous = F.col(value), F.lag(value).over(rows)
+    usable = ~F.col("_is_head") & (previous > 0) & price.isNotNull() & (price != 0)
+    change = F.when(usable, (price - previous) / F.nullif(previous, F.lit(0.0)))
+    so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    peak = F.max(F.greatest(price, F.col(f"_peak_{value}"))).over(so_far)
+    fall = F.when(~F.col("_is_head"), (price - peak) / F.nullif(peak, F.lit(0.0)))
+    return change, F.when(fall < 0, F.struct(fall.alias("f"), F.col(order).alias("d")))
 
 
-def series_summary(prices: DataFrame, keys: Sequence[str], value: str, order: str = "date") -> DataFrame:
-    """Per key: ``returns``, ``volatility`` (annualised population deviation of daily returns),
-    ``max_drawdown`` (0 without a fall) and ``drawdown_date``, ``drawdown_year``."""
-    keys = list(keys)
-    year = F.year(order).alias("_year")
-    small = prices.groupBy(*keys, year).agg(
-        F.max(value).alias("_peak"), F.max_by(value, order).alias("_last")
+def series_summaries(
+    prices: DataFrame, keys: Sequence[str], values: Sequence[str], order: str = "date"
+) -> DataFrame:
+    """Per key one struct per value column: ``returns``, ``volatility`` (annualised population
+    deviation of daily returns), ``max_drawdown`` (0 without a fall), ``drawdown_date``,
+    ``drawdown_year``."""
+    keys, values = list(keys), list(values)
+    rows = prices.select(
+        *keys, order, F.year(order).alias("_year"), *(F.col(v).cast("double").alias(v) for v in values)
     )
     by_year = Window.partitionBy(*keys).orderBy("_year")
-    carries = small.select(
-        *keys, "_year",
-        F.max("_peak").over(by_year.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
-        F.lag("_last").over(by_year).alias("_prev"),
-    )
-    points = prices.groupBy(*keys, year).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(order).alias("d"), F.col(value).cast("double").alias("v"))))
-        .alias("_pts")
-    )
-    start = F.struct(
-        F.col("_carry").cast("double").alias("peak"), F.col("_prev").cast("double").alias("prev"),
-        F.lit(None).cast("double").alias("fall"), F.lit(None).cast("date").alias("fall_date"),
-        F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"),
-    )
-    years = (
-        points.join(broadcast_if_small(carries), [*keys, "_year"])
-        .select(*keys, F.aggregate("_pts", start, _step).alias("_y"))
+    earlier = by_year.rowsBetween(Window.unboundedPreceding, -1)
+    heads = (
+        rows.groupBy(*keys, "_year")
+        .agg(
+            *(F.max(v).alias(f"_max_{v}") for v in values),
+            *(F.max_by(v, order).alias(f"_last_{v}") for v in values),
+        )
+        .select(
+            *keys,
+            "_year",
+            *(F.lag(f"_last_{v}").over(by_year).alias(v) for v in values),
+            *(F.max(f"_max_{v}").over(earlier).alias(f"_peak_{v}") for v in values),
+            F.lit(True).alias("_is_head"),
+        )
     )
-    combined = years.groupBy(*keys).agg(
-        F.min(F.when(F.col("_y.fall").isNotNull(), F.struct(F.col("_y.fall").alias("f"), F.col("_y.fall_date").alias("d"))))
-        .alias("_worst"),
-        F.sum("_y.n").alias("_n"),
-        F.sum(F.col("_y.n") * F.col("_y.mean")).alias("_sum"),
-        F.collect_list(F.struct(F.col("_y.n").alias("n"), F.col("_y.mean").alias("mean"), F.col("_y.m2").alias("m2")))
-        .alias("_parts"),
-    ).withColumn("_mean", F.col("_sum") / F.nullif(F.col("_n"), F.lit(0)))
-    m2 = F.aggregate(
-        "_parts", F.lit(0.0), lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - F.col("_mean")) * (p["mean"] - F.col("_mean"))
-    )
-    returns = F.nullif(F.col("_n"), F.lit(0))
-    return combined.select(
-        *keys,
-        returns.alias("returns"),
-        (F.sqrt(m2 / returns) * F.sqrt(F.lit(TRADING_DAYS))).alias("volatility"),
-        F.coalesce(F.col("_worst.f"), F.lit(0.0)).alias("max_drawdown"),
-        F.col("_worst.d").alias("drawdown_date"),
-        F.year("_worst.d").alias("drawdown_year"),
+    both = rows.withColumn("_is_head", F.lit(False)).unionByName(heads, allowMissingColumns=True)
+    measured = both.filter(F.col("_year").isNotNull())
+    for value in values:
+        change, fall = _measures(value, keys, order)
+        measured = measured.withColumns({f"_return_{value}": change, f"_fall_{value}": fall})
+    found = measured.groupBy(*keys).agg(
+        *(F.count(f"_return_{v}").alias(f"_n_{v}") for v in values),
+        *(F.stddev_pop(f"_return_{v}").alias(f"_dev_{v}") for v in values),
+        *(F.min(f"_fall_{v}").alias(f"_worst_{v}") for v in values),
     )
+
+    def summary(value: str) -> Column:
+        worst = F.col(f"_worst_{value}")
+        return F.struct(
+            F.nullif(F.col(f"_n_{value}"), F.lit(0)).alias("returns"),
+            (F.col(f"_dev_{value}") * F.sqrt(F.lit(TRADING_DAYS))).alias("volatility"),
+            F.coalesce(worst["f"], F.lit(0.0)).alias("max_drawdown"),
+            worst["d"].alias("drawdown_date"),
+            F.year(worst["d"]).alias("drawdown_year"),
+        ).alias(value)
+
+    return found.select(*keys, *(summary(v) for v in values))
+
+
+def series_summary(prices: DataFrame, keys: Sequence[str], value: str, order: str = "date") -> DataFrame:
+    """``series_summaries`` of one value, its columns beside the keys."""
+    found = series_summaries(prices, keys, [value], order)
+    return found.select(*keys, f"{value}.*")

@@ -1,10 +1,13 @@
 """Large tables are moved once, unsorted, on their way into storage and reports."""
 
+import math
 import os
 from datetime import date, datetime
 
 import pytest
 
+from quotelake.operators import portfolio
+from quotelake.operators.summary import series_summaries, series_summary
 from quotelake.sources import derive, lake as lakes
 from quotelake.sources.lake import build_raw, lake_for, raw_lake
 
@@ -130,3 +133,48 @@ def test_publish_moves_prices_once(spark, folder, monkeypatch):
     plain = source.price_history()
     assert stored.select(*plain.columns).exceptAll(plain).count() == 0
     assert stored.count() == plain.count()
+
+
+def test_symbol_side_of_holdings_is_broadcast(spark, tmp_path):
+    symbols = [(i, f"T{i}", "USD") for i in range(50)]
+    newest = [(f"T{i}", 2.0, 1.0) for i in range(50)]
+    held = [(1, i, "USA", 1, 5.0) for i in range(50)]
+    for name, rows, schema in (
+        ("symbols", symbols, "id long, ticker string, currency string"),
+        ("newest", newest, "ticker string, latest_close double, latest_close_eur double"),
+        ("held", held, "holder long, symbol_id long, country string, units long, cost double"),
+        ("rates", [("USD", 0.5)], "currency string, rate_to_eur double"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+    read = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("held", "symbols", "newest", "rates")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        priced = portfolio.priced_holdings(*read.values())
+        first = next(x for x in plan_of(priced).splitlines() if "Join" in x)
+        assert "BroadcastHashJoin [symbol_id" in first
+        assert priced.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_both_series_in_one_pass(spark):
+    rows = [
+        ("A", date(2019, 12, 30), 10.0, 5.0), ("A", date(2019, 12, 31), 8.0, None),
+        ("A", date(2020, 1, 2), 4.0, 6.0), ("A", date(2020, 1, 3), None, 3.0),
+        ("A", date(2022, 1, 3), 5.0, 0.0), (None, date(2020, 1, 1), 2.0, 2.0),
+        ("B", None, 9.0, 9.0),
+    ]
+    prices = spark.createDataFrame(rows, "ticker string, date date, close double, close_eur double")
+    df = series_summaries(prices, ["ticker"], ["close", "close_eur"])
+    # returns: -0.2, -0.5 across the year's end; 5.0 follows a null
+    r = {x.ticker: x for x in df.collect()}
+    assert set(r) == {"A", None}
+    assert r["A"].close.returns == 2
+    assert r["A"].close.volatility == pytest.approx(0.15 * math.sqrt(252))
+    assert (r["A"].close.max_drawdown, r["A"].close.drawdown_date) == (-0.6, date(2020, 1, 2))
+    # the previous close of 6.0 is null, so only 3.0 after 6.0 counts; zero gives a fall, no return
+    assert r["A"].close_eur.returns == 1
+    assert (r["A"].close_eur.max_drawdown, r["A"].close_eur.drawdown_year) == (-1.0, 2022)
+    one = series_summary(prices, ["ticker"], "close_eur").filter("ticker = 'A'").first()
+    assert one.asDict() == {"ticker": "A", **r["A"].close_eur.asDict()}
+    assert "aggregate(" not in plan_of(df)
