@@ -58,7 +58,8 @@ def symbol_documents(
     symbols there are."""
     recent = in_dates(bars, "date", start, end)
     entry = F.struct("date", *PRICE_COLUMNS, "volume", *EUR_COLUMNS)
-    prices = recent.groupBy("symbol_id").agg(
+    # moved as rows: gathering them per input split first would sort every split
+    prices = recent.repartition("symbol_id").groupBy("symbol_id").agg(
         F.sort_array(F.collect_list(entry)).alias("priceData")
     )
     numbers = export_metrics(metrics)

@@ -5,10 +5,12 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotelake.operators import portfolio
 from quotelake.operators.summary import series_summaries, series_summary
-from quotelake.sources import derive, lake as lakes
+from quotelake.plans import documents
+from quotelake.sources import derive, files, lake as lakes
 from quotelake.sources.lake import build_raw, lake_for, raw_lake
 
 LINES = [
@@ -135,6 +137,20 @@ def test_publish_moves_prices_once(spark, folder, monkeypatch):
     assert stored.count() == plain.count()
 
 
+def test_documents_move_rows_and_are_compressed(spark, folder, tmp_path):
+    lake = lake_for(spark, folder)
+    names = ("etf_data", "symbols", "fifty_two_week_metrics", "decrease_thresholds")
+    built = documents.symbol_documents(*map(lake.raw, names), F.lit("2002-01-01").cast("timestamp_ntz"))
+    plan = plan_of(built)
+    gathered = plan.index("partial_collect_list(struct(date")
+    assert plan.index("Exchange hashpartitioning(symbol_id", gathered) > gathered
+    path = str(tmp_path / "documents")
+    files.write_documents(built, path)
+    parts = [f for _, _, found in os.walk(path) for f in found if f.startswith("part-")]
+    assert parts and all(f.endswith(".json.gz") for f in parts)
+    assert files.read_documents(spark, path).count() == built.count()
+
+
 def test_symbol_side_of_holdings_is_broadcast(spark, tmp_path):
     symbols = [(i, f"T{i}", "USD") for i in range(50)]
     newest = [(f"T{i}", 2.0, 1.0) for i in range(50)]
