@@ -176,11 +176,13 @@ def holdings(spark: SparkSession, folder: str) -> DataFrame:
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
     lines = read(spark, folder, "lineitem")
     key = F.col("c_nationkey") % 4
-    country = F.element_at(F.array(*map(F.lit, COUNTRIES)), (key + 1).cast("int"))
+    country = F.when(key.isNull(), F.lit(COUNTRIES[-1])).otherwise(
+        F.element_at(F.array(*map(F.lit, COUNTRIES)), (key + 1).cast("int"))
+    )
     owners = (
         read(spark, folder, "customer")
         .groupBy(F.col("c_custkey").alias("holder"))
-        .agg(F.array_join(F.collect_list(F.coalesce(country, F.lit(""))), "|").alias("_countries"))
+        .agg(F.array_join(F.collect_list(country), "|").alias("_countries"))
     )
     buyers = orders.join(owners, F.col("o_custkey") == F.col("holder")).drop("o_custkey")
     paid = F.col("l_quantity") * (
@@ -195,9 +197,7 @@ def holdings(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     each = F.explode(F.split("_countries", "[|]")).alias("country")
-    return grouped.select("holder", "symbol_id", each, "units", "cost").withColumn(
-        "country", F.nullif("country", F.lit(""))
-    )
+    return grouped.select("holder", "symbol_id", each, "units", "cost")
 
 
 def new_batch(etf_data: DataFrame) -> DataFrame:
