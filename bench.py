@@ -72,6 +72,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     began = time.perf_counter()
     lake = lake_for(spark, folder, published=True)
+    for name in list(lake.pending):  # all raw tables, not only those the marts read
+        lake.path(name)
     setup = time.perf_counter() - began
 
     seconds: dict[str, float] = {}
