@@ -9,6 +9,7 @@ import re
 import sys
 import zlib
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -75,6 +76,32 @@ def test_collocations_of_an_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_hash_collisions_merge_no_counts(spark, monkeypatch):
+    """With four hashes in all, every filter lets everything pass; the counts go by words."""
+    monkeypatch.setattr(collocations, "_mixed", lambda values: values & np.uint64(3))
+    rows = _corpus()
+    df = spark.createDataFrame([(*r, "src", "x", "y", 1, 2) for r in rows], DOCS).repartition(5)
+    got = collocations.collocations(df, top=50).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    assert sorted(tuple(r) for r in got.collect()) == brute_collocations([(r[1], r[2]) for r in rows], top=50)
+
+
+def test_levels_count_within_blocks(spark, monkeypatch):
+    """A level hands on one row for each hash of a block, not one for each place, and a filter loses no hash."""
+    monkeypatch.setattr(collocations, "MIN_COUNT", 1)
+    df = spark.createDataFrame([(i, "one two three four five. " * 50 + f"x{i}", "en") for i in range(300)], "doc_id long, text string, lang string")
+    blocks = collocations._packed(collocations._chunks(df.coalesce(1)).coalesce(1)).localCheckpoint()
+    assert blocks.count() == 1
+    level = collocations._hash_level(blocks, 1, None).localCheckpoint()
+    assert level.count() == 305
+    passes = collocations._filter(level)
+    block = collocations._Block(blocks.first().asDict())
+    assert block.known(1, passes).all()
+    plan = level.sparkSession._jvm.PythonSQLUtils.explainString(
+        collocations._hash_level(blocks, 2, None)._jdf.queryExecution(), "simple"
+    )
+    assert "Generate" not in plan and "Join" not in plan
+
+
 def test_chunks_own_every_word_once(spark):
     rows = _corpus()
     df = spark.createDataFrame([(*r, "src", "x", "y", 1, 2) for r in rows], DOCS)
