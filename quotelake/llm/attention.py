@@ -119,8 +119,8 @@ AWAY = (np.arange(CHUNK)[:, None] + CHUNK) - np.arange(CONTEXT)[None, :]
 
 def _tables(w: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Attention weight of a query and a key class (0 for the padding class, the last), and of a distance (0 for the future)."""
-    pair = np.exp(np.clip(w.q @ w.k.T / np.sqrt(WIDTH), -20, 20)).astype(np.float32)
-    pair = np.pad(pair, ((0, 1), (0, 1)))
+    pair = np.zeros((len(w.q) + 1, len(w.k) + 1), np.float32)
+    pair[:-1, :-1] = np.exp(np.clip(w.q @ w.k.T / np.sqrt(WIDTH), -20, 20))
     far = np.where(AWAY >= 0, np.exp(np.clip(w.distance, -20, 20))[np.abs(AWAY)], 0).astype(np.float32)
     return pair, far
 
@@ -185,49 +185,79 @@ def text_scores(w: Weights, flat: np.ndarray, lengths: np.ndarray, coarse_of: np
     return np.add.reduceat(found, first[:-1]) / np.log(10) if len(lengths) else np.zeros(0)
 
 
+def _class_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of each class; ``order`` sorts the rows by class, classes ``at`` begin at ``first``."""
+    found = np.zeros((size, values.shape[1]), np.float32)
+    found[at] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
+    return found
+
+
+def _runs(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of sorted classes begin, and their classes."""
+    first = np.flatnonzero(np.append(True, classes[1:] != classes[:-1]))
+    return first, classes[first]
+
+
 def _slopes(
     w: Weights, before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray
 ) -> tuple[list[np.ndarray], float]:
-    """Gradient of the mean loss over a batch of windows, and the loss."""
+    """Gradient of the mean loss over a batch of windows, and the loss.
+
+    The places are taken in order of their last class and the classes' logits lie in rows, so that sums over the
+    places of a class are sums over stretches of a row."""
     m, n = w.after.shape
     pair, far = _tables(w)
     coarse_of = np.append(coarse_of, n).astype(np.int64)
     k = coarse_of[np.concatenate([before, last], axis=1)]
-    q, last, aim = k[:, CHUNK:], last.astype(np.int64), aim.ravel().astype(np.int64)
-    v, r, after = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r, w.after))
-    weight = pair[q[:, :, None], k[:, None, :]] * far
-    total = weight.sum(axis=2, keepdims=True)
-    share = weight / np.where(total > 0, total, 1)
-    values = v[k]
-    hidden = (np.matmul(share, values) + r[last]).reshape(-1, WIDTH)
+    order = np.argsort(last.ravel(), kind="stable")
+    last, aim = last.ravel()[order].astype(np.int64), aim.ravel()[order].astype(np.int64)
+    v, r = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r))
+    v = np.hstack([v, np.ones((n + 1, 1), np.float32)])
+    at = (k[:, CHUNK:] * (n + 1))[:, :, None] + k[:, None, :]
+    weight = pair.ravel().take(at)
+    weight *= far
+    # the last column of the values is one: it sums the weights up
+    values = v.take(k, axis=0)
+    read = np.matmul(weight, values).reshape(-1, WIDTH + 1).take(order, axis=0)
+    total = np.where(read[:, WIDTH:] > 0, read[:, WIDTH:], 1)
+    read = read[:, :WIDTH] / total
+    hidden = read + r.take(last, axis=0)
     active = np.maximum(hidden, 0)
-    logits = active @ w.out + after[last.ravel()]
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
+    p = w.out.T @ active.T
+    first, found = _runs(last)
+    # padding places take any logits: they have no target
+    after = w.after.T.take(np.minimum(found, m - 1), axis=1)
+    p += np.repeat(after, np.diff(np.append(first, len(last))), axis=1)
+    p -= p.max(axis=0)
     inside = aim != n
     count = max(1, inside.sum())
-    own = np.where(inside, aim, 0)
-    rows = np.arange(len(aim))
-    loss = -np.log(p[rows, own][inside] + 1e-30).sum() / count
-    p[rows, own] -= 1
-    p *= (inside / count)[:, None].astype(np.float32)
-    d_hidden = (p @ w.out.T) * (hidden > 0)
-    d_read = d_hidden.reshape(len(q), CHUNK, WIDTH)
-    d_share = np.matmul(d_read, values.transpose(0, 2, 1))
-    d_score = share * (d_share - (share * d_share).sum(axis=2, keepdims=True))
-    at = (q[:, :, None] * (n + 1) + k[:, None, :]).ravel()
-    d_pair = np.bincount(at, d_score.ravel(), (n + 1) ** 2).reshape(n + 1, n + 1)[:n, :n].astype(np.float32)
+    own, places = np.where(inside, aim, 0), np.arange(len(aim))
+    chosen = p[own, places]
+    np.exp(p, out=p)
+    sums = np.ones(n, np.float32) @ p
+    loss = (np.log(sums) - chosen)[inside].sum(dtype=np.float64) / count
+    p *= (inside / (count * sums)).astype(np.float32)
+    p[own, places] -= (inside / count).astype(np.float32)
+    d_hidden = (w.out @ p).T * (hidden > 0)
+    d_after = np.zeros((n, m + 1), np.float32)
+    d_after[:, found] = np.add.reduceat(p, first, axis=1)
+    d_r = np.zeros((m + 1, WIDTH), np.float32)
+    d_r[found] = np.add.reduceat(np.ascontiguousarray(d_hidden.T), first, axis=1).T
+    # slopes of the sums of weighted values and, in the last column, of the sum of weights
+    d_read = np.empty((len(last), WIDTH + 1), np.float32)
+    d_read[order, :WIDTH] = d_hidden / total
+    d_read[order, WIDTH] = -np.einsum("ij,ij->i", d_hidden, read) / total[:, 0]
+    d_read = d_read.reshape(len(k), CHUNK, WIDTH + 1)
+    d_values = np.matmul(weight.transpose(0, 2, 1), d_read).reshape(-1, WIDTH + 1)
+    weight *= np.matmul(d_read, values.transpose(0, 2, 1))
+    d_pair = np.bincount(at.ravel(), weight.ravel(), (n + 1) ** 2).reshape(n + 1, n + 1)[:n, :n].astype(np.float32)
     d_pair /= np.sqrt(WIDTH)
-    d_far = np.bincount(np.maximum(AWAY, 0).ravel(), (d_score.sum(axis=0) * (AWAY >= 0)).ravel(), CONTEXT)
-    d_values = np.matmul(share.transpose(0, 2, 1), d_read).reshape(-1, WIDTH)
-    one_key = np.zeros((k.size, n + 1), np.float32)
-    one_key[np.arange(k.size), k.ravel()] = 1
-    one_last = np.zeros((last.size, m + 1), np.float32)
-    one_last[np.arange(last.size), last.ravel()] = 1
+    d_far = np.bincount(np.maximum(AWAY, 0).ravel(), (weight.sum(axis=0) * (AWAY >= 0)).ravel(), CONTEXT)
+    keys = k.ravel().astype(np.uint8)
+    of_key = np.argsort(keys, kind="stable")
+    d_v = _class_sums(d_values, of_key, *_runs(keys[of_key]), n + 1)
     return [
-        d_pair @ w.k, d_pair.T @ w.q, (one_key.T @ d_values)[:n], (one_last.T @ d_hidden)[:m],
-        d_far.astype(np.float32), active.T @ p, (one_last.T @ p)[:m],
+        d_pair @ w.k, d_pair.T @ w.q, d_v[:n, :WIDTH], d_r[:m], d_far.astype(np.float32), (p @ active).T, d_after.T[:m],
     ], float(loss)
 
 
@@ -248,7 +278,8 @@ def train(
 ) -> tuple[Weights, list[float]]:
     """Adam over the windows of the texts (fine classes), the rate falling to a tenth; the weights and the losses."""
     steps = list(_steps(texts, coarse_of, rounds, seed))
-    parts = [p.copy() for p in w.parts()]
+    # the last part lies by columns, as its slopes come
+    parts = [p.copy(order="F" if p is w.after else "C") for p in w.parts()]
     first, second = ([np.zeros_like(p) for p in parts] for _ in range(2))
     losses = []
     for step, batch in enumerate(steps, 1):

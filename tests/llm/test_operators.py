@@ -418,6 +418,29 @@ def test_attention_reaches_far_back():
     assert (np.abs(np.diff(far)) > 1e-7).sum() > 8
 
 
+def test_step_sums_over_classes_without_one_hot_matrices():
+    """A step's sums over equal classes need no matrix of places by classes, and are right in all places."""
+    import tracemalloc
+
+    from quotelake.llm import attention
+
+    rng = np.random.default_rng(9)
+    coarse_of = np.append(0, rng.integers(1, sum(attention.COARSE) + 1, sum(attention.FINE))).astype(np.uint8)
+    w = attention.Weights.start((len(coarse_of), sum(attention.COARSE) + 1))
+    texts = [rng.integers(1, 500, n).astype(np.uint16) for n in (0, 1, 15, 16, 17, 5000)]
+    before, last, aim = next(attention._steps(texts, coarse_of, 1, 0))
+    tracemalloc.start()
+    slopes, _ = attention._slopes(w, before, last, aim, coarse_of)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3700 * last.size
+    # the slopes of the logits after a class add up to zero; ends and padding are in place
+    assert np.abs(slopes[6].sum(axis=1)).max() < 1e-5
+    real = aim.ravel() <= sum(attention.COARSE)
+    seen = np.unique(last.ravel()[real])
+    assert set(np.flatnonzero(np.abs(slopes[6]).sum(axis=1))) == set(seen)
+
+
 def test_gradient():
     from quotelake.llm import attention
 
