@@ -38,14 +38,14 @@ def id_remainder(divisor: int, doc_id: str = "doc_id") -> Column:
 
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a step once to the shared folder and go on from the stored copy.
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write a step once to the shared folder, with the writer's ``options``, and go on from the stored copy.
 
     The copy survives lost executors and ends the lineage.
     """
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(T.StructType([_nullable(f) for f in df.schema])).parquet(path)
 
 

@@ -414,7 +414,7 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         (id_remainder(FOLDS) == HELD_OUT).alias("held_out"),
         text_of().alias("text"),
     )
-    blocks = stored(document_blocks(plain, path), "blocks")
+    blocks = stored(document_blocks(plain, path), "blocks", compression="zstd")
     rows = blocks.filter(F.col("ids").isNotNull())
     training = rows.filter(~F.col("held_out")).select("block", "doc", "doc_id", "ids")
     counts = stored(
