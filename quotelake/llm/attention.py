@@ -17,6 +17,8 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 
+from quotelake.llm.graphs import MICROSOFT, Graph
+
 CHUNK = 16
 CONTEXT = 2 * CHUNK
 COARSE = (96, 31)
@@ -106,11 +108,12 @@ class Weights:
 
     @classmethod
     def load(cls, data: bytes, sizes: tuple[int, int]) -> Weights:
-        flat, parts, at = np.frombuffer(data, "<f4").copy(), [], 0
-        for like in cls.start(sizes).parts():
-            parts.append(flat[at : at + like.size].reshape(like.shape))
-            at += like.size
-        return cls(*parts)
+        return cls.start(sizes).over(np.frombuffer(data, "<f4").copy())
+
+    def over(self, flat: np.ndarray) -> Weights:
+        """Weights of the same shapes that lie in ``flat``."""
+        ends = np.cumsum([p.size for p in self.parts()])
+        return Weights(*(flat[e - p.size : e].reshape(p.shape) for e, p in zip(ends, self.parts(), strict=True)))
 
 
 #: Distance of each key of a window from each of its queries; negative: in the future.
@@ -120,9 +123,10 @@ AWAY = (np.arange(CHUNK)[:, None] + CHUNK) - np.arange(CONTEXT)[None, :]
 def _tables(w: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Attention weight of a query and a key class (0 for the padding class, the last), and of a distance (0 for the future)."""
     pair = np.zeros((len(w.q) + 1, len(w.k) + 1), np.float32)
-    pair[:-1, :-1] = np.exp(np.clip(w.q @ w.k.T / np.sqrt(WIDTH), -20, 20))
-    far = np.where(AWAY >= 0, np.exp(np.clip(w.distance, -20, 20))[np.abs(AWAY)], 0).astype(np.float32)
-    return pair, far
+    scaled = w.q / np.float32(np.sqrt(WIDTH)) @ w.k.T
+    np.exp(np.minimum(np.maximum(scaled, -20, out=scaled), 20, out=scaled), out=pair[:-1, :-1])
+    far = np.exp(np.minimum(np.maximum(w.distance, -20), 20)).take(np.abs(AWAY)) * (AWAY >= 0)
+    return pair, far.astype(np.float32)
 
 
 def layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,115 +154,191 @@ def windows(
     return inputs.reshape(-1, CHUNK), targets.reshape(-1, CHUNK), first
 
 
+def _forward(**outputs: int) -> Graph:
+    """Graph from the weights of a batch of windows to the next class's logits at each place."""
+    graph = Graph(
+        {"weight": 3, "far": 2, "v": 2, "r": 2, "out": 2, "after": 2}, {"k": 2, "last": 2, "aim": 2}, outputs,
+        flat=np.array([-1]), rows=np.array([-1, WIDTH + 1]), parts=np.array([WIDTH, 1]), least=np.array(1e-30, np.float32),
+        windows=np.array([-1, CHUNK, WIDTH + 1]), column=np.array([-1, 1]), first=np.array([0]), second=np.array([1]),
+        zero=np.array(0, np.float32), minus=np.array(-1, np.float32),
+    )
+    graph.node("near", "Mul", "weight", "far")
+    graph.node("values", "Gather", "v", "k")
+    # the last column of the values is one: it sums the weights up
+    graph.node("sums", "MatMul", "near", "values")
+    graph.node("places", "Reshape", "sums", "rows")
+    graph.node("read total", "Split", "places", "parts", axis=1)
+    graph.node("mass", "Add", "total", "least")
+    graph.node("mean", "Div", "read", "mass")
+    graph.node("ends", "Reshape", "last", "flat")
+    graph.node("own", "Gather", "r", "ends")
+    graph.node("hidden", "Add", "mean", "own")
+    graph.node("active", "Relu", "hidden")
+    graph.node("follow", "Gather", "after", "ends")
+    graph.node("logits", "Gemm", "active", "out", "follow")
+    return graph
+
+
+def _score_graph() -> Graph:
+    graph = _forward(given=2)
+    graph.node("shares", "LogSoftmax", "logits", axis=1)
+    graph.node("given", "GatherElements", "shares", "aim", axis=1)
+    return graph
+
+
+def _step_graph() -> Graph:
+    """Slopes of the loss summed over the places with a target. Padding places read nothing, so theirs are zero but
+    for the rows of the padding class."""
+    graph = _forward(chosen=2, d_weight=3, d_far=2, d_v=2, d_r=2, d_out=2, d_after=2)
+    graph.node("p", "Softmax", "logits", axis=1)
+    graph.node("chosen", "GatherElements", "p", "aim", axis=1)
+    graph.node("one", "Shape", "chosen")
+    graph.node("less", "Expand", "minus", "one")
+    graph.node("slope", "ScatterElements", "p", "aim", "less", axis=1, reduction="add")
+    graph.node("shape_after", "Shape", "after")
+    graph.node("empty_after", "Expand", "zero", "shape_after")
+    graph.node("d_after", "ScatterND", "empty_after", "last", "slope", reduction="add")
+    graph.node("d_out", "FusedMatMul", "active", "slope", domain=MICROSOFT, transA=1)
+    graph.node("through", "FusedMatMul", "slope", "out", domain=MICROSOFT, transB=1)
+    graph.node("on", "Sign", "active")
+    graph.node("d_hidden", "Mul", "on", "through")
+    graph.node("shape_r", "Shape", "r")
+    graph.node("empty_r", "Expand", "zero", "shape_r")
+    graph.node("d_r", "ScatterND", "empty_r", "last", "d_hidden", reduction="add")
+    # slopes of the sums of weighted values and, in the last column, of the sum of weights
+    graph.node("d_read", "Div", "d_hidden", "mass")
+    graph.node("parts_of_total", "Mul", "d_read", "mean")
+    graph.node("total_slope", "ReduceSum", "parts_of_total", "second")
+    graph.node("d_total", "Neg", "total_slope")
+    graph.node("d_places", "Concat", "d_read", "d_total", axis=1)
+    graph.node("d_sums", "Reshape", "d_places", "windows")
+    graph.node("d_values", "FusedMatMul", "near", "d_sums", domain=MICROSOFT, transA=1)
+    graph.node("d_keys", "Reshape", "d_values", "rows")
+    graph.node("shape_v", "Shape", "v")
+    graph.node("empty_v", "Expand", "zero", "shape_v")
+    graph.node("keys", "Reshape", "k", "column")
+    graph.node("d_v", "ScatterND", "empty_v", "keys", "d_keys", reduction="add")
+    graph.node("d_near", "FusedMatMul", "d_sums", "values", domain=MICROSOFT, transB=1)
+    graph.node("d_weight", "Mul", "near", "d_near")
+    graph.node("d_far", "ReduceSum", "d_weight", "first", keepdims=0)
+    return graph
+
+
+def _with_padding(w: Weights) -> dict[str, np.ndarray]:
+    """Values (and a column of ones), residual vectors and logits with a row of zeros for the padding class."""
+    v, r, after = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r, w.after))
+    return {"v": np.hstack([v, np.ones((len(v), 1), np.float32)]), "r": r, "after": after, "out": w.out}
+
+
+_SCORES, _STEP = _score_graph(), _step_graph()
+
+
+def _logits(
+    weight: np.ndarray, far: np.ndarray, v: np.ndarray, r: np.ndarray, out: np.ndarray, after: np.ndarray,
+    k: np.ndarray, last: np.ndarray,
+) -> tuple[np.ndarray, ...]:
+    """What the graphs begin with, in numpy."""
+    weight *= far
+    values = v.take(k, axis=0)
+    sums = np.matmul(weight, values).reshape(-1, WIDTH + 1)
+    total = np.maximum(sums[:, WIDTH:], 1e-30)
+    read = sums[:, :WIDTH] / total
+    active = np.maximum(read + r.take(last, axis=0), 0)
+    logits = active @ out
+    logits += after.take(last, axis=0)
+    logits -= logits.max(axis=1, keepdims=True)
+    return values, total, read, active, logits
+
+
+def _scores(aim: np.ndarray, last: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
+    """``_SCORES`` in numpy."""
+    logits = _logits(last=last.ravel(), **of_windows)[-1]
+    given = np.take_along_axis(logits, aim, axis=1)
+    return [given - np.log(np.exp(logits, out=logits).sum(axis=1, keepdims=True))]
+
+
+def _row_sums(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """``size`` rows, each the sum of the ``rows`` whose number in ``at`` is its own."""
+    found, order = np.zeros((size, rows.shape[1]), np.float32), np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
+    found[at[order[first]]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    return found
+
+
+def _step(aim: np.ndarray, last: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
+    """``_STEP`` in numpy."""
+    weight, k, last = of_windows["weight"], of_windows["k"], last.ravel()
+    values, total, read, active, p = _logits(last=last, **of_windows)
+    np.exp(p, out=p)
+    p /= p.sum(axis=1, keepdims=True)
+    chosen = np.take_along_axis(p, aim, axis=1)
+    np.put_along_axis(p, aim, chosen - 1, axis=1)
+    d_hidden = p @ of_windows["out"].T
+    d_hidden *= active > 0
+    d_read = d_hidden / total
+    d_total = -(d_read * read).sum(axis=1, keepdims=True)
+    d_sums = np.concatenate([d_read, d_total], axis=1).reshape(len(k), CHUNK, WIDTH + 1)
+    d_keys = np.matmul(weight.transpose(0, 2, 1), d_sums).reshape(-1, WIDTH + 1)
+    d_weight = weight * np.matmul(d_sums, values.transpose(0, 2, 1))
+    d_v, d_r, d_after = (
+        _row_sums(rows, at, len(of_windows[of]))
+        for rows, at, of in ((d_keys, k.ravel(), "v"), (d_hidden, last, "r"), (p, last, "after"))
+    )
+    return [chosen, d_weight, d_weight.sum(axis=0), d_v, d_r, active.T @ p, d_after]
+
+
+def _batch(
+    w: Weights, tables: tuple[np.ndarray, np.ndarray], before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray
+) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Inputs of a graph without the model, the places that have no target, and where each weight lies in the table of
+    pairs. ``coarse_of`` knows the padding class."""
+    n = len(w.q)
+    k = coarse_of.take(np.concatenate([before, last], axis=1), mode="clip")
+    at = (k[:, CHUNK:] * (n + 1))[:, :, None] + k[:, None, :]
+    aim = aim.reshape(-1, 1).astype(np.int64)
+    outside = np.flatnonzero(aim == n)
+    aim[outside] = 0
+    # no place is out of range; clipping is the fast mode
+    weight = tables[0].ravel().take(at, mode="clip")
+    given = {"weight": weight, "far": tables[1], "k": k, "last": last.reshape(-1, 1).astype(np.int64), "aim": aim}
+    return given, outside, at
+
+
 def text_scores(w: Weights, flat: np.ndarray, lengths: np.ndarray, coarse_of: np.ndarray) -> np.ndarray:
     """log10 probability of the coarse classes of each text (``flat``: fine classes), its end included."""
     n = w.out.shape[1]
     inputs, targets, first = windows(flat, lengths, coarse_of)
-    coarse_of = np.append(coarse_of, np.uint8(n))
-    pair, far = _tables(w)
-    v, r, after = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r, w.after))
-    v = np.hstack([v, np.ones((n + 1, 1), np.float32)])
-    flat_pair, row = pair.ravel(), np.arange(len(pair), dtype=np.int32) * len(pair)
-    ones = np.ones(n, np.float32)
+    coarse_of = np.append(coarse_of, n).astype(np.int64)
+    tables, model = _tables(w), _with_padding(w)
+    run = _SCORES if _SCORES.ready() else _scores
     found = np.zeros(len(inputs))
     real = np.flatnonzero((targets != n).any(axis=1))
     for at in range(0, len(real), SCORE_WINDOWS):
         rows = real[at : at + SCORE_WINDOWS]
-        queries, aim = inputs[rows], targets[rows]
-        keys = coarse_of[np.concatenate([inputs[rows - 1], queries], axis=1)]
-        weight = flat_pair.take(row.take(keys[:, CHUNK:])[:, :, None] + keys[:, None, :])
-        weight *= far
-        # the last column of the values is one: it sums the weights up
-        read = np.matmul(weight, v.take(keys, axis=0)).reshape(-1, WIDTH + 1)
-        hidden = read[:, :WIDTH] / np.maximum(read[:, WIDTH:], 1e-30)
-        last = queries.ravel()
-        hidden += r.take(last, axis=0)
-        np.maximum(hidden, 0, out=hidden)
-        logits = hidden @ w.out
-        logits += after.take(last, axis=0)
-        aim = aim.ravel()
-        inside = aim != n
-        chosen = logits[np.arange(len(aim)), np.where(inside, aim, 0)]
-        np.exp(logits, out=logits)
-        given = np.where(inside, chosen - np.log(logits @ ones), 0)
+        batch, outside, _ = _batch(w, tables, inputs[rows - 1], inputs[rows], targets[rows], coarse_of)
+        given = run(**batch, **model)[0]
+        given[outside] = 0
         found[rows] = given.reshape(len(rows), CHUNK).sum(axis=1, dtype=np.float64)
     return np.add.reduceat(found, first[:-1]) / np.log(10) if len(lengths) else np.zeros(0)
 
 
-def _class_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of each class; ``order`` sorts the rows by class, classes ``at`` begin at ``first``."""
-    found = np.zeros((size, values.shape[1]), np.float32)
-    found[at] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
-    return found
-
-
-def _runs(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the runs of sorted classes begin, and their classes."""
-    first = np.flatnonzero(np.append(True, classes[1:] != classes[:-1]))
-    return first, classes[first]
-
-
 def _slopes(
     w: Weights, before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray
 ) -> tuple[list[np.ndarray], float]:
-    """Gradient of the mean loss over a batch of windows, and the loss.
-
-    The places are taken in order of their last class and the classes' logits lie in rows, so that sums over the
-    places of a class are sums over stretches of a row."""
+    """Gradient of the mean loss over a batch of windows, and the loss."""
     m, n = w.after.shape
-    pair, far = _tables(w)
     coarse_of = np.append(coarse_of, n).astype(np.int64)
-    k = coarse_of[np.concatenate([before, last], axis=1)]
-    order = np.argsort(last.ravel(), kind="stable")
-    last, aim = last.ravel()[order].astype(np.int64), aim.ravel()[order].astype(np.int64)
-    v, r = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r))
-    v = np.hstack([v, np.ones((n + 1, 1), np.float32)])
-    at = (k[:, CHUNK:] * (n + 1))[:, :, None] + k[:, None, :]
-    weight = pair.ravel().take(at)
-    weight *= far
-    # the last column of the values is one: it sums the weights up
-    values = v.take(k, axis=0)
-    read = np.matmul(weight, values).reshape(-1, WIDTH + 1).take(order, axis=0)
-    total = np.where(read[:, WIDTH:] > 0, read[:, WIDTH:], 1)
-    read = read[:, :WIDTH] / total
-    hidden = read + r.take(last, axis=0)
-    active = np.maximum(hidden, 0)
-    p = w.out.T @ active.T
-    first, found = _runs(last)
-    # padding places take any logits: they have no target
-    after = w.after.T.take(np.minimum(found, m - 1), axis=1)
-    p += np.repeat(after, np.diff(np.append(first, len(last))), axis=1)
-    p -= p.max(axis=0)
-    inside = aim != n
-    count = max(1, inside.sum())
-    own, places = np.where(inside, aim, 0), np.arange(len(aim))
-    chosen = p[own, places]
-    np.exp(p, out=p)
-    sums = np.ones(n, np.float32) @ p
-    loss = (np.log(sums) - chosen)[inside].sum(dtype=np.float64) / count
-    p *= (inside / (count * sums)).astype(np.float32)
-    p[own, places] -= (inside / count).astype(np.float32)
-    d_hidden = (w.out @ p).T * (hidden > 0)
-    d_after = np.zeros((n, m + 1), np.float32)
-    d_after[:, found] = np.add.reduceat(p, first, axis=1)
-    d_r = np.zeros((m + 1, WIDTH), np.float32)
-    d_r[found] = np.add.reduceat(np.ascontiguousarray(d_hidden.T), first, axis=1).T
-    # slopes of the sums of weighted values and, in the last column, of the sum of weights
-    d_read = np.empty((len(last), WIDTH + 1), np.float32)
-    d_read[order, :WIDTH] = d_hidden / total
-    d_read[order, WIDTH] = -np.einsum("ij,ij->i", d_hidden, read) / total[:, 0]
-    d_read = d_read.reshape(len(k), CHUNK, WIDTH + 1)
-    d_values = np.matmul(weight.transpose(0, 2, 1), d_read).reshape(-1, WIDTH + 1)
-    weight *= np.matmul(d_read, values.transpose(0, 2, 1))
-    d_pair = np.bincount(at.ravel(), weight.ravel(), (n + 1) ** 2).reshape(n + 1, n + 1)[:n, :n].astype(np.float32)
+    batch, outside, at = _batch(w, _tables(w), before, last, aim, coarse_of)
+    run = _STEP if _STEP.ready() else _step
+    chosen, d_weight, d_far, d_v, d_r, d_out, d_after = run(**batch, **_with_padding(w))
+    count = max(1, len(chosen) - len(outside))
+    chosen[outside] = 1
+    loss = -np.log(np.maximum(chosen, 1e-37)).sum(dtype=np.float64) / count
+    d_pair = np.bincount(at.ravel(), d_weight.ravel(), (n + 1) ** 2).reshape(n + 1, n + 1)[:n, :n].astype(np.float32)
     d_pair /= np.sqrt(WIDTH)
-    d_far = np.bincount(np.maximum(AWAY, 0).ravel(), (weight.sum(axis=0) * (AWAY >= 0)).ravel(), CONTEXT)
-    keys = k.ravel().astype(np.uint8)
-    of_key = np.argsort(keys, kind="stable")
-    d_v = _class_sums(d_values, of_key, *_runs(keys[of_key]), n + 1)
-    return [
-        d_pair @ w.k, d_pair.T @ w.q, d_v[:n, :WIDTH], d_r[:m], d_far.astype(np.float32), (p @ active).T, d_after.T[:m],
-    ], float(loss)
+    d_distance = np.bincount(np.maximum(AWAY, 0).ravel(), (d_far * (AWAY >= 0)).ravel(), CONTEXT)
+    slopes = [d_pair @ w.k, d_pair.T @ w.q, d_v[:n, :WIDTH], d_r[:m], d_distance.astype(np.float32), d_out, d_after[:m]]
+    return [s / np.float32(count) for s in slopes], float(loss)
 
 
 def _steps(texts: list[np.ndarray], coarse_of: np.ndarray, rounds: int, seed: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -278,16 +358,27 @@ def train(
 ) -> tuple[Weights, list[float]]:
     """Adam over the windows of the texts (fine classes), the rate falling to a tenth; the weights and the losses."""
     steps = list(_steps(texts, coarse_of, rounds, seed))
-    # the last part lies by columns, as its slopes come
-    parts = [p.copy(order="F" if p is w.after else "C") for p in w.parts()]
-    first, second = ([np.zeros_like(p) for p in parts] for _ in range(2))
+    flat = np.concatenate([p.ravel() for p in w.parts()])
+    parts, slope, a, b = w.over(flat), np.empty_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+    of_parts, change, size = w.over(slope).parts(), np.empty_like(flat), np.empty_like(flat)
     losses = []
     for step, batch in enumerate(steps, 1):
-        slopes, loss = _slopes(Weights(*parts), *batch, coarse_of)
+        slopes, loss = _slopes(parts, *batch, coarse_of)
         losses.append(loss)
-        speed = rate * (1 - 0.9 * step / len(steps))
-        for p, slope, a, b in zip(parts, slopes, first, second, strict=True):
-            a += 0.1 * (slope - a)
-            b += 0.01 * (slope * slope - b)
-            p -= speed * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
-    return Weights(*parts), losses
+        for to, found in zip(of_parts, slopes, strict=True):
+            to[:] = found
+        # a: mean slope, b: mean square of the slope
+        np.subtract(slope, a, out=change)
+        change *= 0.1
+        a += change
+        np.multiply(slope, slope, out=change)
+        change -= b
+        change *= 0.01
+        b += change
+        np.divide(b, 1 - 0.99**step, out=size)
+        np.sqrt(size, out=size)
+        size += 1e-8
+        np.divide(a, size, out=change)
+        change *= rate * (1 - 0.9 * step / len(steps)) / (1 - 0.9**step)
+        flat -= change
+    return parts, losses

@@ -1,8 +1,8 @@
 """Language-model scores of whole texts, beside a unigram base score.
 
 One pass reads every document. A task keeps its documents in blocks, gives each word of a block its subword
-ids once, and stores each document's ids, and for each word which documents of the block hold it how
-often. All else works on these stored rows.
+ids once, and stores each document's ids and its words as numbers within the block; the block's words lie in
+``CELLS`` rows, by a hash of the word. All else works on these stored rows.
 
 Everything counted covers all training documents: words, subword ids, and pairs of a subword's class and the next
 id. The counts give the id classes, the shares of ids within classes, and the first logits of
@@ -12,16 +12,19 @@ Its other weights are trained in numpy. A first model learns from ``WARM`` docum
 trainers, one for each ``TRAINER_WORDS`` tokens of the corpus, go on from it, each over its own share of the
 training documents, and their weights are averaged in a tree. Every training document is learned from.
 
-The base score joins posting lists, not single words, with the word counts; a frequent word has
-one row for each block, and adaptive execution may split those.
+The base score moves no word as a row of its own: a task counts the words of whole cells over all blocks and
+gives each block its words' counts, and these meet the numbered words of the block's documents. A frequent word
+is one entry in a row for each block.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,12 +37,12 @@ from quotelake.llm.subwords import ByteWords, tokenizer_path
 FOLDS, HELD_OUT = 7, 2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
-#: Words and documents of a block.
-BLOCK_WORDS = 1_200_000
+#: Bytes of text and documents of a block, about.
+BLOCK_BYTES = 8_000_000
 BLOCK_DOCS = 16_384
 
-#: Blocks whose base scores a task sums up at a time.
-HELD_BLOCKS = 300
+#: Rows that a block's words are dealt to, by their hash.
+CELLS = 4096
 
 WARM = 800
 WARM_ROUNDS = 3
@@ -55,12 +58,14 @@ BACKOFF = 5.0
 #: Subword ids scored at a time, about.
 SCORED_IDS = 1_000_000
 
-BLOCKS = "block long, doc int, doc_id long, held_out boolean, n_tokens long, ids binary, word binary, n long, postings binary"
+#: Rows of documents, with their subword ids and the numbers of their words; and rows of words, each followed by
+#: a blank, with their counts in the block's training documents. Numbers follow the rows of words in order of cell.
+BLOCKS = (
+    "block long, doc int, doc_id long, held_out boolean, n_tokens long, ids binary, numbers binary, cell int, words binary, n binary"
+)
 
-
-def _binaries(parts: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(parts))])
+#: Lower-cases A-Z and turns the white space that ``bytes.split`` knows into blanks.
+_PLAIN = LOWER.translate(bytes.maketrans(b"\t\n\v\f\r", b"     "))
 
 
 def _sliced(values: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -69,8 +74,31 @@ def _sliced(values: np.ndarray, starts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
 
 
-def _split(text: str) -> list[bytes]:
-    return text.encode("utf-8").translate(LOWER).split()
+def _words(joined: np.ndarray) -> pa.DictionaryArray:
+    """The words of bytes in which each word is followed by one blank; numbers in order of first appearance."""
+    ends = np.append(0, np.flatnonzero(joined == 32) + 1).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(joined)])
+    return found.dictionary_encode()
+
+
+def _spelled(words: pa.BinaryArray) -> tuple[bytes, np.ndarray]:
+    """All words in one, and where each begins."""
+    if not len(words):
+        return b"", np.zeros(0, np.int32)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset :][: len(words) + 1]
+    return words.buffers()[2][ends[0] : ends[-1]].to_pybytes(), ends[:-1] - ends[0]
+
+
+def _split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The lower-cased words of all texts, each followed by a blank, and how many each text has."""
+    data = np.frombuffer(b" ".join([*texts, b""]).translate(_PLAIN), np.uint8)
+    space = data == 32
+    end = space.copy()
+    end[:1] = False
+    end[1:] &= ~space[:-1]
+    of_texts = np.cumsum([len(t) + 1 for t in texts]) - 1
+    before = np.searchsorted(np.flatnonzero(end), of_texts, side="right")
+    return data[end | ~space], np.diff(before, prepend=0)
 
 
 def _ragged(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -224,93 +252,113 @@ def train_model(
     return Weights.load(bytes(last[0].model), sizes) if last else warm
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they come up."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
-class _Block:
-    """Documents scored together."""
-
-    def __init__(self):
-        self.numbers = _Numbers()
-        self.ids: list[int | None] = []
-        self.held: list[bool] = []
-        self.words: list[np.ndarray] = []
-        self.n = 0
-
-    def add(self, doc_id: int | None, held: bool, text: str) -> None:
-        words = _split(text)
-        self.ids.append(doc_id)
-        self.held.append(held)
-        self.words.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
-        self.n += len(words)
-
-    @property
-    def full(self) -> bool:
-        return self.n >= BLOCK_WORDS or len(self.ids) >= BLOCK_DOCS
-
-    def rows(self, number: int, coder: ByteWords) -> Iterator[pa.RecordBatch]:
-        vocabulary = list(self.numbers)
-        ids, size = coder.ids(vocabulary)
-        start = np.cumsum(size) - size
-        words = np.concatenate([*self.words, np.zeros(0, np.int64)])
-        n_words = np.array([len(w) for w in self.words], dtype=np.int64)
-        sizes = size[words]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        at = np.repeat(start[words] - ends[:-1], sizes) + np.arange(ends[-1])
-        docs, last = len(self.ids), np.cumsum(n_words)
-        yield self._batch(
-            number, docs, doc=pa.array(np.arange(docs, dtype=np.int32)), doc_id=pa.array(self.ids, pa.int64()),
-            held_out=pa.array(self.held), n_tokens=pa.array(n_words + 1),
-            ids=_sliced(ids.astype("<u2")[at], ends[last - n_words]),
-        )
-        if not len(words):
-            return
-        keys, times = np.unique(words << 16 | np.repeat(np.arange(docs), n_words), return_counts=True)
-        if times.max() > 0xFFFF:  # a count that is too large for its 16 bits takes several entries
-            parts = (times - 1) // 0xFFFF + 1
-            keys = np.repeat(keys, parts)
-            rest = np.repeat(times - (parts - 1) * 0xFFFF, parts)
-            times = np.where(np.append(keys[1:] != keys[:-1], True), rest, 0xFFFF)
-        postings = (times << 16 | keys & 0xFFFF).astype("<u4")
-        word = keys >> 16
-        trained = ~np.array(self.held)[keys & 0xFFFF]
-        yield self._batch(
-            number, len(vocabulary), word=_binaries(vocabulary),
-            n=pa.array(np.bincount(word, times * trained, len(vocabulary)).astype(np.int64)),
-            postings=_sliced(postings, np.flatnonzero(np.append(True, word[1:] != word[:-1]))),
-        )
+def _in_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Consecutive rows (doc_id, held_out, text) of about ``BLOCK_BYTES`` together, at least one."""
+    pending, size, rows = [], 0, 0
+    for batch in batches:
+        ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)), 0
+        while at < len(batch):
+            before = int(ends[at - 1]) if at else 0
+            stop = int(np.searchsorted(ends, before + BLOCK_BYTES - size)) + 1
+            stop = min(stop, len(batch), at + BLOCK_DOCS - rows)
+            pending.append(batch.slice(at, stop - at))
+            size, rows, at = size + int(ends[stop - 1]) - before, rows + stop - at, stop
+            if size >= BLOCK_BYTES or rows >= BLOCK_DOCS:
+                yield pa.Table.from_batches(pending)
+                pending, size, rows = [], 0, 0
+    if pending:
+        yield pa.Table.from_batches(pending)
+
+
+def _block_rows(number: int, docs: pa.Table, coder: ByteWords) -> Iterator[pa.RecordBatch]:
+    """Rows of ``BLOCKS``."""
+    joined, n_words = _split([t or b"" for t in docs.column("text").cast(pa.large_binary()).to_pylist()])
+    words = _words(joined)
+    vocabulary, words = words.dictionary, words.indices.to_numpy()
+    cells = np.fromiter(map(zlib.crc32, _spelled(vocabulary)[0].split(b" ")[:-1]), np.uint32, len(vocabulary)) % CELLS
+    order = np.argsort(cells.astype(np.uint16), kind="stable")
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order))
+    vocabulary, words = vocabulary.take(pa.array(order)), place[words]
+    spelled, begin = _spelled(vocabulary)
+
+    ids, size = coder.ids(spelled)
+    start, sizes = np.cumsum(size) - size, size[words]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    at = np.repeat(start[words] - ends[:-1], sizes) + np.arange(ends[-1])
+    last, held = np.cumsum(n_words), docs.column("held_out").to_numpy()
+    yield _rows(
+        number, len(docs), doc=pa.array(np.arange(len(docs), dtype=np.int32)), doc_id=docs.column("doc_id").combine_chunks(),
+        held_out=pa.array(held), n_tokens=pa.array(n_words + 1),
+        ids=_sliced(ids.astype("<u2")[at], ends[last - n_words]), numbers=_sliced(words.astype("<u4"), last - n_words),
+    )
+    if not len(words):
+        return
+    cells = cells[order]
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    n = np.bincount(words[np.repeat(~held, n_words)], minlength=len(order))
+    yield _rows(
+        number, len(first), cell=pa.array(cells[first].astype(np.int32)),
+        words=_sliced(np.frombuffer(spelled, np.uint8), begin[first]), n=_sliced(n.astype("<u4"), first),
+    )
 
-    @staticmethod
-    def _batch(number: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
-        kinds = {"doc": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(),
-                 "ids": pa.binary(), "word": pa.binary(), "n": pa.int64(), "postings": pa.binary()}
-        arrays = [columns.get(c, pa.nulls(size, t)) for c, t in kinds.items()]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *arrays], names=["block", *kinds])
+
+def _rows(number: int, size: int, **columns: pa.Array) -> pa.RecordBatch:
+    kinds = {"doc": pa.int32(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "ids": pa.binary(),
+             "numbers": pa.binary(), "cell": pa.int32(), "words": pa.binary(), "n": pa.binary()}
+    arrays = [columns.get(c, pa.nulls(size, t)) for c, t in kinds.items()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *arrays], names=["block", *kinds])
 
 
 def document_blocks(docs: DataFrame, path: str) -> DataFrame:
-    """Rows of ``BLOCKS``: one for each document with its ids, and one for each block and word."""
+    """Rows of ``BLOCKS``."""
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, block = ByteWords(path), _Block()
-        number = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            for doc_id, held, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                block.add(doc_id, held, text)
-                if block.full:
-                    yield from block.rows(number, coder)
-                    block, number = _Block(), number + 1
-        if block.ids:
-            yield from block.rows(number, coder)
+        coder, first = ByteWords(path), TaskContext.get().partitionId() << 24
+        for number, block in enumerate(_in_blocks(batches), first):
+            yield from _block_rows(number, block, coder)
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(blocks, BLOCKS)
 
 
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(block, cell, counts, kinds): how often each word of a row of words comes up in all training documents, in the
+    row's order. The ``kinds`` add up to the number of words that do."""
+
+    def counted(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, cell, words, n = pa.Table.from_batches(rows).combine_chunks().columns
+        n, lengths = _ragged(n.combine_chunks(), "<u4")
+        words = _words(np.frombuffer(b"".join(words.to_pylist()), np.uint8))
+        of_word = words.indices.to_numpy()
+        total = np.bincount(of_word, n, len(words.dictionary)).astype("<u8")
+        kinds = np.zeros(len(lengths), np.int64)
+        kinds[0] = np.count_nonzero(total)
+        return pa.RecordBatch.from_arrays(
+            [block.combine_chunks(), cell.combine_chunks(), _sliced(total[of_word], np.cumsum(lengths) - lengths), pa.array(kinds)],
+            names=["block", "cell", "counts", "kinds"],
+        )
+
+    def whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in filter(len, batches):
+            cells = batch.column(1).to_numpy()
+            begun = int(np.searchsorted(cells, cells[-1]))  # the last cell may go on in the next batch
+            if begun or cells[-1] != last:
+                held.append(batch.slice(0, begun))
+                if sum(map(len, held)):
+                    yield counted(held)
+                held = []
+            held.append(batch.slice(begun))
+            last = cells[-1]
+        if held:
+            yield counted(held)
+
+    cells = blocks.filter(F.col("cell").isNotNull()).select("block", "cell", "words", "n")
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        whole_cells, "block long, cell int, counts binary, kinds long"
+    )
+
+
 def model_scores(rows: DataFrame, weights: Weights, pairs: Pairs) -> DataFrame:
     """``rows`` (block, doc, doc_id, held_out, n_tokens, ids) with the log10 probability of each text, without ids."""
     classes = pairs.classes
@@ -347,58 +395,21 @@ def model_scores(rows: DataFrame, weights: Weights, pairs: Pairs) -> DataFrame:
     )
 
 
-def base_sums(blocks: DataFrame, counts: DataFrame) -> DataFrame:
+def base_sums(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """(block, doc, base, known): sum of log10(count + 1) over the words of each document, and how many are counted."""
-    postings = blocks.filter(F.col("word").isNotNull()).select("block", "word", "postings")
-    joined = postings.join(counts.filter("n > 0"), "word").select("block", "n", "postings")
-    parts = "block long, docs binary, base binary, known binary"
-
-    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-        def flush() -> pa.RecordBatch:
-            rows = []
-            for block, (base, known) in held.items():
-                docs = np.flatnonzero(known)
-                rows.append((block, docs.astype("<u2").tobytes(), base[docs].tobytes(), known[docs].tobytes()))
-            held.clear()
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3), strict=True)],
-                names=["block", "docs", "base", "known"],
-            )
 
-        for batch in batches:
-            entries, lengths = _ragged(batch.column(2), "<u4")
-            of_block = np.repeat(batch.column(0).to_numpy(), lengths)
-            value = np.repeat(np.log10(batch.column(1).to_numpy() + 1.0), lengths)
-            docs, times = entries & 0xFFFF, entries >> 16
-            numbers, at = np.unique(of_block, return_inverse=True)
-            place = at * BLOCK_DOCS + docs
-            base = np.bincount(place, times * value, len(numbers) * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
-            known = np.bincount(place, times, len(numbers) * BLOCK_DOCS).reshape(-1, BLOCK_DOCS)
-            for row, block in enumerate(numbers.tolist()):
-                if block not in held:
-                    if len(held) >= HELD_BLOCKS:
-                        yield flush()
-                    held[block] = np.zeros(BLOCK_DOCS), np.zeros(BLOCK_DOCS, np.int64)
-                held[block][0][:] += base[row]
-                held[block][1][:] += known[row].astype(np.int64)
-        yield flush()
-
-    def merged(block: pa.Table) -> pa.Table:
-        base, known = np.zeros(BLOCK_DOCS), np.zeros(BLOCK_DOCS, np.int64)
-        block = block.sort_by([("docs", "ascending"), ("base", "ascending")])  # sums in one order
-        for docs, b, k in zip(*(block.column(c).to_pylist() for c in ("docs", "base", "known")), strict=True):
-            at = np.frombuffer(docs, "<u2")
-            base[at] += np.frombuffer(b)
-            known[at] += np.frombuffer(k, np.int64)
-        docs = np.flatnonzero(known)
-        number = np.full(len(docs), block.column("block")[0].as_py())
-        return pa.table({"block": number, "doc": docs.astype(np.int32), "base": base[docs], "known": known[docs]})
-
-    return joined.mapInArrow(summed, parts).groupBy("block").applyInArrow(
-        merged, "block long, doc int, base double, known long"
+    def summed(docs: pa.Table, counts: pa.Table) -> pa.Table:
+        count = _ragged(counts.sort_by("cell").column("counts").combine_chunks(), "<u8")[0]
+        numbers, lengths = _ragged(docs.column("numbers").combine_chunks(), "<u4")
+        of_doc = np.repeat(np.arange(len(lengths)), lengths)
+        # without any word the sums are whole numbers
+        base = np.bincount(of_doc, np.log10(count + 1.0).take(numbers), len(lengths)).astype(np.float64)
+        known = np.bincount(of_doc, (count > 0).take(numbers), len(lengths)).astype(np.int64)
+        return pa.table({"block": docs.column("block"), "doc": docs.column("doc"), "base": base, "known": known})
+
+    docs = rows.select("block", "doc", "numbers").groupBy("block")
+    return docs.cogroup(counts.select("block", "cell", "counts").groupBy("block")).applyInArrow(
+        summed, "block long, doc int, base double, known long"
     )
 
 
@@ -416,12 +427,10 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     )
     blocks = stored(document_blocks(plain, path), "blocks", compression="zstd")
     rows = blocks.filter(F.col("ids").isNotNull())
-    training = rows.filter(~F.col("held_out")).select("block", "doc", "doc_id", "ids")
-    counts = stored(
-        blocks.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
-    )
-    words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    texts = training.count()
+    training = rows.filter(~F.col("held_out")).select("block", "doc", "doc_id", "ids", "n_tokens")
+    counts = stored(word_counts(blocks), "word-counts", compression="zstd")
+    kinds = counts.agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    texts, words = training.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n_tokens") - 1), F.lit(0))).first()
 
     coder = ByteWords(path)
     id_counts = _totals(training, coder.size, lambda ids, _: ids)
@@ -430,12 +439,12 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     first = Weights.start(classes.sizes)
     first.after[:] = pairs.first_logits(texts)
     weights = train_model(training, texts, words, first, classes)
-    rows = model_scores(rows, weights, pairs)
-    sums = base_sums(blocks, counts).withColumnsRenamed({"block": "__block", "doc": "__doc"})
+    scores = model_scores(rows, weights, pairs)
+    sums = base_sums(rows, counts).withColumnsRenamed({"block": "__block", "doc": "__doc"})
     # the end is a token of every text: counted once for each training text
     tokens, distinct = words + texts, kinds + (texts > 0)
     per_token = float(np.log10(tokens + 1 * (distinct + 1)))
-    return rows.join(sums, (F.col("block") == F.col("__block")) & (F.col("doc") == F.col("__doc")), "left").select(
+    return scores.join(sums, (F.col("block") == F.col("__block")) & (F.col("doc") == F.col("__doc")), "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

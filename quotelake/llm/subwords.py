@@ -20,6 +20,9 @@ CACHE_WORDS = 1_500_000
 #: Letters whose lower case is one letter and which do not compose with others, then ASCII marks.
 _PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)")
 
+#: What ``str.split`` takes for white space and ``bytes.split`` does not.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
 _MARKUP = b"<|"
 
 
@@ -115,13 +118,15 @@ class ByteWords:
         self.begins_word = np.zeros(self.size, dtype=bool)
         self.begins_word[[i for token, i in ranks.items() if token[:1] == b" "]] = True
 
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in turn, and how many each word has."""
-        plain = [w.decode("utf-8") for w in words]
-        odd = [at for at, w in enumerate(plain) if not w.isascii() and len(w.split()) != 1]
-        if odd:  # white space beyond ASCII inside a word: words one by one
-            parts = [self.coder.encode_ordinary(" " + w) for w in plain]
-            return np.array([i for p in parts for i in p], dtype=np.int64), np.array([len(p) for p in parts], np.int64)
-        found = np.array(self.coder.encode_ordinary(" " + " ".join(plain)) if plain else [], dtype=np.int64)
+    def ids(self, words: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in turn, each followed by a blank, and how many each word has."""
+        text = words[:-1].decode("utf-8")
+        if _ODD_SPACE.search(text):
+            plain = text.split(" ")
+            if any(len(w.split()) != 1 for w in plain if not w.isascii()):
+                # white space beyond ASCII inside a word: words one by one
+                parts = [self.coder.encode_ordinary(" " + w) for w in plain]
+                return np.array([i for p in parts for i in p], dtype=np.int64), np.array([len(p) for p in parts], np.int64)
+        found = np.array(self.coder.encode_ordinary(" " + text) if text else [], dtype=np.int64)
         first = np.flatnonzero(self.begins_word[found])
         return found, np.diff(np.append(first, len(found)))
