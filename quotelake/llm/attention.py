@@ -12,6 +12,7 @@ token is scored once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
@@ -27,7 +28,7 @@ WIDTH = 24
 
 #: Windows in a training step, and windows scored at a time.
 STEP_WINDOWS = 256
-SCORE_WINDOWS = 256
+SCORE_WINDOWS = 128
 
 
 @dataclass(frozen=True)
@@ -154,33 +155,22 @@ def windows(
     return inputs.reshape(-1, CHUNK), targets.reshape(-1, CHUNK), first
 
 
-def _forward(**outputs: int) -> Graph:
+def _forward(outputs: dict[str, int], **constants: np.ndarray) -> Graph:
     """Graph from the weights of a batch of windows to the next class's logits at each place."""
     graph = Graph(
-        {"weight": 3, "far": 2, "v": 2, "r": 2, "out": 2, "after": 2}, {"k": 2, "last": 2, "aim": 2}, outputs,
-        flat=np.array([-1]), rows=np.array([-1, WIDTH + 1]), parts=np.array([WIDTH, 1]), least=np.array(1e-30, np.float32),
-        windows=np.array([-1, CHUNK, WIDTH + 1]), column=np.array([-1, 1]), first=np.array([0]), second=np.array([1]),
-        zero=np.array(0, np.float32), minus=np.array(-1, np.float32),
+        {"weight": 3, "values": 3, "own": 2, "follow": 2, "out": 2}, {"k": 2, "last": 2, "aim": 2}, outputs,
+        rows=np.array([-1, WIDTH]), **constants,
     )
-    graph.node("near", "Mul", "weight", "far")
-    graph.node("values", "Gather", "v", "k")
-    # the last column of the values is one: it sums the weights up
-    graph.node("sums", "MatMul", "near", "values")
-    graph.node("places", "Reshape", "sums", "rows")
-    graph.node("read total", "Split", "places", "parts", axis=1)
-    graph.node("mass", "Add", "total", "least")
-    graph.node("mean", "Div", "read", "mass")
-    graph.node("ends", "Reshape", "last", "flat")
-    graph.node("own", "Gather", "r", "ends")
+    graph.node("sums", "MatMul", "weight", "values")
+    graph.node("mean", "Reshape", "sums", "rows")
     graph.node("hidden", "Add", "mean", "own")
     graph.node("active", "Relu", "hidden")
-    graph.node("follow", "Gather", "after", "ends")
     graph.node("logits", "Gemm", "active", "out", "follow")
     return graph
 
 
 def _score_graph() -> Graph:
-    graph = _forward(given=2)
+    graph = _forward({"given": 2})
     graph.node("shares", "LogSoftmax", "logits", axis=1)
     graph.node("given", "GatherElements", "shares", "aim", axis=1)
     return graph
@@ -188,71 +178,58 @@ def _score_graph() -> Graph:
 
 def _step_graph() -> Graph:
     """Slopes of the loss summed over the places with a target. Padding places read nothing, so theirs are zero but
-    for the rows of the padding class."""
-    graph = _forward(chosen=2, d_weight=3, d_far=2, d_v=2, d_r=2, d_out=2, d_after=2)
+    for the row of the padding class."""
+    m, n = sum(FINE) + 1, sum(COARSE) + 1
+    graph = _forward(
+        {"chosen": 2, "d_near": 3, "dot": 2, "d_v": 2, "d_r": 2, "d_out": 2, "d_after": 2},
+        zero=np.array(0, np.float32), one=np.array(1, np.float32), minus=np.array(-1, np.float32), huge=np.array(1e38, np.float32),
+        windows=np.array([-1, CHUNK, WIDTH]), column=np.array([-1, 1]), second=np.array([1]),
+        all_v=np.array([n + 1, WIDTH]), all_r=np.array([m + 1, WIDTH]), all_after=np.array([m + 1, n]),
+    )
     graph.node("p", "Softmax", "logits", axis=1)
     graph.node("chosen", "GatherElements", "p", "aim", axis=1)
-    graph.node("one", "Shape", "chosen")
-    graph.node("less", "Expand", "minus", "one")
+    graph.node("places", "Shape", "chosen")
+    graph.node("less", "Expand", "minus", "places")
     graph.node("slope", "ScatterElements", "p", "aim", "less", axis=1, reduction="add")
-    graph.node("shape_after", "Shape", "after")
-    graph.node("empty_after", "Expand", "zero", "shape_after")
-    graph.node("d_after", "ScatterND", "empty_after", "last", "slope", reduction="add")
+    graph.node("no_after", "Expand", "zero", "all_after")
+    graph.node("d_after", "ScatterND", "no_after", "last", "slope", reduction="add")
     graph.node("d_out", "FusedMatMul", "active", "slope", domain=MICROSOFT, transA=1)
     graph.node("through", "FusedMatMul", "slope", "out", domain=MICROSOFT, transB=1)
-    graph.node("on", "Sign", "active")
-    graph.node("d_hidden", "Mul", "on", "through")
-    graph.node("shape_r", "Shape", "r")
-    graph.node("empty_r", "Expand", "zero", "shape_r")
-    graph.node("d_r", "ScatterND", "empty_r", "last", "d_hidden", reduction="add")
-    # slopes of the sums of weighted values and, in the last column, of the sum of weights
-    graph.node("d_read", "Div", "d_hidden", "mass")
-    graph.node("parts_of_total", "Mul", "d_read", "mean")
-    graph.node("total_slope", "ReduceSum", "parts_of_total", "second")
-    graph.node("d_total", "Neg", "total_slope")
-    graph.node("d_places", "Concat", "d_read", "d_total", axis=1)
-    graph.node("d_sums", "Reshape", "d_places", "windows")
-    graph.node("d_values", "FusedMatMul", "near", "d_sums", domain=MICROSOFT, transA=1)
+    graph.node("large", "Mul", "active", "huge")
+    graph.node("on", "Clip", "large", "zero", "one")
+    graph.node("d_hidden", "Mul", "through", "on")
+    graph.node("no_r", "Expand", "zero", "all_r")
+    graph.node("d_r", "ScatterND", "no_r", "last", "d_hidden", reduction="add")
+    graph.node("d_sums", "Reshape", "d_hidden", "windows")
+    graph.node("d_values", "FusedMatMul", "weight", "d_sums", domain=MICROSOFT, transA=1)
     graph.node("d_keys", "Reshape", "d_values", "rows")
-    graph.node("shape_v", "Shape", "v")
-    graph.node("empty_v", "Expand", "zero", "shape_v")
+    graph.node("no_v", "Expand", "zero", "all_v")
     graph.node("keys", "Reshape", "k", "column")
-    graph.node("d_v", "ScatterND", "empty_v", "keys", "d_keys", reduction="add")
+    graph.node("d_v", "ScatterND", "no_v", "keys", "d_keys", reduction="add")
     graph.node("d_near", "FusedMatMul", "d_sums", "values", domain=MICROSOFT, transB=1)
-    graph.node("d_weight", "Mul", "near", "d_near")
-    graph.node("d_far", "ReduceSum", "d_weight", "first", keepdims=0)
+    graph.node("both", "Mul", "d_hidden", "mean")
+    graph.node("dot", "ReduceSum", "both", "second")
     return graph
 
 
-def _with_padding(w: Weights) -> dict[str, np.ndarray]:
-    """Values (and a column of ones), residual vectors and logits with a row of zeros for the padding class."""
-    v, r, after = (np.vstack([t, np.zeros((1, t.shape[1]), np.float32)]) for t in (w.v, w.r, w.after))
-    return {"v": np.hstack([v, np.ones((len(v), 1), np.float32)]), "r": r, "after": after, "out": w.out}
-
-
 _SCORES, _STEP = _score_graph(), _step_graph()
 
 
 def _logits(
-    weight: np.ndarray, far: np.ndarray, v: np.ndarray, r: np.ndarray, out: np.ndarray, after: np.ndarray,
-    k: np.ndarray, last: np.ndarray,
-) -> tuple[np.ndarray, ...]:
-    """What the graphs begin with, in numpy."""
-    weight *= far
-    values = v.take(k, axis=0)
-    sums = np.matmul(weight, values).reshape(-1, WIDTH + 1)
-    total = np.maximum(sums[:, WIDTH:], 1e-30)
-    read = sums[:, :WIDTH] / total
-    active = np.maximum(read + r.take(last, axis=0), 0)
+    weight: np.ndarray, values: np.ndarray, own: np.ndarray, follow: np.ndarray, out: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the graphs begin with, in numpy; the logits less their largest."""
+    mean = np.matmul(weight, values).reshape(-1, WIDTH)
+    active = np.maximum(mean + own, 0)
     logits = active @ out
-    logits += after.take(last, axis=0)
+    logits += follow
     logits -= logits.max(axis=1, keepdims=True)
-    return values, total, read, active, logits
+    return mean, active, logits
 
 
-def _scores(aim: np.ndarray, last: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
+def _scores(k: np.ndarray, last: np.ndarray, aim: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
     """``_SCORES`` in numpy."""
-    logits = _logits(last=last.ravel(), **of_windows)[-1]
+    logits = _logits(**of_windows)[-1]
     given = np.take_along_axis(logits, aim, axis=1)
     return [given - np.log(np.exp(logits, out=logits).sum(axis=1, keepdims=True))]
 
@@ -265,79 +242,104 @@ def _row_sums(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return found
 
 
-def _step(aim: np.ndarray, last: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
+def _step(k: np.ndarray, last: np.ndarray, aim: np.ndarray, **of_windows: np.ndarray) -> list[np.ndarray]:
     """``_STEP`` in numpy."""
-    weight, k, last = of_windows["weight"], of_windows["k"], last.ravel()
-    values, total, read, active, p = _logits(last=last, **of_windows)
+    weight, values, last = of_windows["weight"], of_windows["values"], last.ravel()
+    m, n = sum(FINE) + 1, sum(COARSE) + 1
+    mean, active, p = _logits(**of_windows)
     np.exp(p, out=p)
     p /= p.sum(axis=1, keepdims=True)
     chosen = np.take_along_axis(p, aim, axis=1)
     np.put_along_axis(p, aim, chosen - 1, axis=1)
     d_hidden = p @ of_windows["out"].T
     d_hidden *= active > 0
-    d_read = d_hidden / total
-    d_total = -(d_read * read).sum(axis=1, keepdims=True)
-    d_sums = np.concatenate([d_read, d_total], axis=1).reshape(len(k), CHUNK, WIDTH + 1)
-    d_keys = np.matmul(weight.transpose(0, 2, 1), d_sums).reshape(-1, WIDTH + 1)
-    d_weight = weight * np.matmul(d_sums, values.transpose(0, 2, 1))
-    d_v, d_r, d_after = (
-        _row_sums(rows, at, len(of_windows[of]))
-        for rows, at, of in ((d_keys, k.ravel(), "v"), (d_hidden, last, "r"), (p, last, "after"))
-    )
-    return [chosen, d_weight, d_weight.sum(axis=0), d_v, d_r, active.T @ p, d_after]
-
-
-def _batch(
-    w: Weights, tables: tuple[np.ndarray, np.ndarray], before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray
-) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Inputs of a graph without the model, the places that have no target, and where each weight lies in the table of
-    pairs. ``coarse_of`` knows the padding class."""
-    n = len(w.q)
-    k = coarse_of.take(np.concatenate([before, last], axis=1), mode="clip")
-    at = (k[:, CHUNK:] * (n + 1))[:, :, None] + k[:, None, :]
-    aim = aim.reshape(-1, 1).astype(np.int64)
-    outside = np.flatnonzero(aim == n)
-    aim[outside] = 0
-    # no place is out of range; clipping is the fast mode
-    weight = tables[0].ravel().take(at, mode="clip")
-    given = {"weight": weight, "far": tables[1], "k": k, "last": last.reshape(-1, 1).astype(np.int64), "aim": aim}
-    return given, outside, at
+    d_sums = d_hidden.reshape(len(k), CHUNK, WIDTH)
+    d_keys = np.matmul(weight.transpose(0, 2, 1), d_sums).reshape(-1, WIDTH)
+    return [
+        chosen, np.matmul(d_sums, values.transpose(0, 2, 1)), (d_hidden * mean).sum(axis=1, keepdims=True),
+        _row_sums(d_keys, k.ravel(), n + 1), _row_sums(d_hidden, last, m + 1), active.T @ p, _row_sums(p, last, m + 1),
+    ]
+
+
+class _Batches:
+    """Inputs of the graphs for batches of windows, by one model. They lie in ``memory`` until the next batch, as new
+    memory for each costs more than what is computed in it."""
+
+    def __init__(self, w: Weights, coarse_of: np.ndarray, memory: dict[str, np.ndarray]):
+        self.n, self.memory = len(w.q), memory
+        self.coarse_of = np.append(coarse_of, self.n).astype(np.int64)
+        pair, self.far = _tables(w)
+        self.pair, self.after = pair.ravel(), w.after
+        self.out = self._room("out", np.float32, *w.out.shape)
+        self.out[:] = w.out
+        self.v, self.r = (np.vstack([t, np.zeros((1, WIDTH), np.float32)]) for t in (w.v, w.r))
+
+    def _room(self, name: str, kind: type, *shape: int) -> np.ndarray:
+        held, size = self.memory.get(name), math.prod(shape)
+        if held is None or held.size < size:
+            whole = np.empty(size * np.dtype(kind).itemsize + 64, np.uint8)
+            begin = -whole.ctypes.data % 64  # of a cache line
+            held = self.memory[name] = whole[begin : begin + len(whole) - 64].view(kind)
+        return held[:size].reshape(shape)
+
+    def _rows(self, name: str, table: np.ndarray, at: np.ndarray) -> np.ndarray:
+        # no index is out of range but for logits after the padding class, which nobody reads; clipping is the fast mode
+        return table.take(at, axis=0, mode="clip", out=self._room(name, np.float32, *at.shape, *table.shape[1:]))
+
+    def of(self, before: np.ndarray, last: np.ndarray, aim: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """The inputs, the places that have no target, and where each weight lies in the table of pairs."""
+        k = self.coarse_of.take(np.concatenate([before, last], axis=1), mode="clip")
+        at = self._room("at", np.int64, len(k), CHUNK, CONTEXT)
+        np.add((k[:, CHUNK:] * (self.n + 1))[:, :, None], k[:, None, :], out=at)
+        weight = self._rows("weight", self.pair, at)
+        weight *= self.far
+        total = weight.reshape(-1, CONTEXT) @ np.ones(CONTEXT, np.float32)
+        weight /= np.maximum(total, 1e-30).reshape(-1, CHUNK, 1)
+        last, aim = last.ravel().astype(np.int64), aim.reshape(-1, 1).astype(np.int64)
+        outside = np.flatnonzero(aim == self.n)
+        aim[outside] = 0
+        given = {
+            "weight": weight, "values": self._rows("values", self.v, k), "own": self._rows("own", self.r, last),
+            "follow": self._rows("follow", self.after, last), "out": self.out, "k": k, "last": last.reshape(-1, 1), "aim": aim,
+        }
+        return given, outside, at
 
 
 def text_scores(w: Weights, flat: np.ndarray, lengths: np.ndarray, coarse_of: np.ndarray) -> np.ndarray:
     """log10 probability of the coarse classes of each text (``flat``: fine classes), its end included."""
     n = w.out.shape[1]
     inputs, targets, first = windows(flat, lengths, coarse_of)
-    coarse_of = np.append(coarse_of, n).astype(np.int64)
-    tables, model = _tables(w), _with_padding(w)
-    run = _SCORES if _SCORES.ready() else _scores
+    batches, run = _Batches(w, coarse_of, {}), _SCORES if _SCORES.ready() else _scores
     found = np.zeros(len(inputs))
     real = np.flatnonzero((targets != n).any(axis=1))
     for at in range(0, len(real), SCORE_WINDOWS):
         rows = real[at : at + SCORE_WINDOWS]
-        batch, outside, _ = _batch(w, tables, inputs[rows - 1], inputs[rows], targets[rows], coarse_of)
-        given = run(**batch, **model)[0]
+        batch, outside, _ = batches.of(inputs[rows - 1], inputs[rows], targets[rows])
+        given = run(**batch)[0]
         given[outside] = 0
         found[rows] = given.reshape(len(rows), CHUNK).sum(axis=1, dtype=np.float64)
     return np.add.reduceat(found, first[:-1]) / np.log(10) if len(lengths) else np.zeros(0)
 
 
 def _slopes(
-    w: Weights, before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray
+    w: Weights, before: np.ndarray, last: np.ndarray, aim: np.ndarray, coarse_of: np.ndarray,
+    memory: dict[str, np.ndarray] | None = None,
 ) -> tuple[list[np.ndarray], float]:
-    """Gradient of the mean loss over a batch of windows, and the loss."""
+    """Gradient of the mean loss over a batch of windows, and the loss. ``memory`` is used again by the next batch."""
     m, n = w.after.shape
-    coarse_of = np.append(coarse_of, n).astype(np.int64)
-    batch, outside, at = _batch(w, _tables(w), before, last, aim, coarse_of)
+    batch, outside, at = _Batches(w, coarse_of, {} if memory is None else memory).of(before, last, aim)
     run = _STEP if _STEP.ready() else _step
-    chosen, d_weight, d_far, d_v, d_r, d_out, d_after = run(**batch, **_with_padding(w))
+    chosen, d_weight, dot, d_v, d_r, d_out, d_after = run(**batch)
     count = max(1, len(chosen) - len(outside))
     chosen[outside] = 1
     loss = -np.log(np.maximum(chosen, 1e-37)).sum(dtype=np.float64) / count
+    # the weights of a place add up to one
+    d_weight -= dot.reshape(-1, CHUNK, 1)
+    d_weight *= batch["weight"]
     d_pair = np.bincount(at.ravel(), d_weight.ravel(), (n + 1) ** 2).reshape(n + 1, n + 1)[:n, :n].astype(np.float32)
     d_pair /= np.sqrt(WIDTH)
-    d_distance = np.bincount(np.maximum(AWAY, 0).ravel(), (d_far * (AWAY >= 0)).ravel(), CONTEXT)
-    slopes = [d_pair @ w.k, d_pair.T @ w.q, d_v[:n, :WIDTH], d_r[:m], d_distance.astype(np.float32), d_out, d_after[:m]]
+    d_far = np.bincount(np.maximum(AWAY, 0).ravel(), (d_weight.sum(axis=0) * (AWAY >= 0)).ravel(), CONTEXT)
+    slopes = [d_pair @ w.k, d_pair.T @ w.q, d_v[:n], d_r[:m], d_far.astype(np.float32), d_out, d_after[:m]]
     return [s / np.float32(count) for s in slopes], float(loss)
 
 
@@ -361,9 +363,9 @@ def train(
     flat = np.concatenate([p.ravel() for p in w.parts()])
     parts, slope, a, b = w.over(flat), np.empty_like(flat), np.zeros_like(flat), np.zeros_like(flat)
     of_parts, change, size = w.over(slope).parts(), np.empty_like(flat), np.empty_like(flat)
-    losses = []
+    losses, memory = [], {}
     for step, batch in enumerate(steps, 1):
-        slopes, loss = _slopes(parts, *batch, coarse_of)
+        slopes, loss = _slopes(parts, *batch, coarse_of, memory)
         losses.append(loss)
         for to, found in zip(of_parts, slopes, strict=True):
             to[:] = found
